@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.ordered import running_sums
 
 MAX_LABELS = 10_000
-SMALL = Window.partitionBy(F.lit(0))  # windows over per-label tables (labels rows)
+
+
+def _small():
+    """Whole-table window for per-label tables (one row per label)."""
+    return Window.partitionBy(F.lit(0))
+
 
 
 def confusion_counts(pred: DataFrame, y: str = "y_true", yhat: str = "prediction") -> DataFrame:
@@ -50,7 +55,7 @@ def per_class_counts(pred: DataFrame, y: str = "y_true", yhat: str = "prediction
         F.coalesce("support", F.lit(0)).alias("support"),
         F.coalesce("predicted", F.lit(0)).alias("predicted"),
     )
-    j = j.withColumn("total", F.sum("support").over(SMALL))
+    j = j.withColumn("total", F.sum("support").over(_small()))
     return j.select(
         "label",
         F.col("tp").cast("bigint").alias("tp"),
@@ -95,7 +100,7 @@ def overall_metrics(pred: DataFrame, y: str = "y_true", yhat: str = "prediction"
     prec = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     rec = _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     k = k.select("*", prec.alias("p"), rec.alias("r"), _f1(prec, rec).alias("f"),
-                 F.max("label").over(SMALL).alias("__maxl"), F.count(F.lit(1)).over(SMALL).alias("__nl"))
+                 F.max("label").over(_small()).alias("__maxl"), F.count(F.lit(1)).over(_small()).alias("__nl"))
     a = k.agg(
         (F.sum("tp") / F.first("total")).alias("accuracy"),
         F.first("__nl").alias("n_labels"),
@@ -138,6 +143,27 @@ def overall_metrics(pred: DataFrame, y: str = "y_true", yhat: str = "prediction"
     )
 
 
+def f1_scores(pred: DataFrame, y: str = "y_true", yhat: str = "prediction", digits: int = 6) -> DataFrame:
+    """Both F1 readings in one row: harmonic mean of the averaged P and R
+    (reference default) and the mean of the class F1 values."""
+    k = per_class_counts(pred, y, yhat)
+    prec = _ratio(F.col("tp"), F.col("tp") + F.col("fp"))
+    rec = _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
+    k = k.select("*", prec.alias("p"), rec.alias("r"), _f1(prec, rec).alias("f"))
+    a = k.agg(
+        F.avg("p").alias("pm"), F.avg("r").alias("rm"), F.avg("f").alias("fm"),
+        (F.sum(F.col("p") * F.col("support")) / F.sum("support")).alias("pw"),
+        (F.sum(F.col("r") * F.col("support")) / F.sum("support")).alias("rw"),
+        (F.sum(F.col("f") * F.col("support")) / F.sum("support")).alias("fw"),
+    )
+    return a.select(
+        F.round(_f1(F.col("pw"), F.col("rw")), digits).alias("f1_weighted"),
+        F.round(_f1(F.col("pm"), F.col("rm")), digits).alias("f1_macro"),
+        F.round(F.col("fw"), digits).alias("f1_weighted_of_classes"),
+        F.round(F.col("fm"), digits).alias("f1_macro_of_classes"),
+    )
+
+
 def classification_report(pred: DataFrame, y: str = "y_true", yhat: str = "prediction", digits: int = 6) -> DataFrame:
     """Per-class rows plus accuracy, macro avg and weighted avg rows
     (here macro and weighted F1 are means of the class F1)."""

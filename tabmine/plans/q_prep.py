@@ -406,7 +406,7 @@ def d1_width(spark, sf):
 
 
 @reg("d2_freq", """
-WITH q AS (SELECT list_distinct(list_sort(quantile_cont(p_size, [0.0, 0.25, 0.5, 0.75, 1.0]))) AS e FROM part)
+WITH q AS (SELECT list_sort(list_distinct(quantile_cont(p_size, [0.0, 0.25, 0.5, 0.75, 1.0]))) AS e FROM part)
 SELECT p_partkey, CAST(len(list_filter(e[2:len(e)-1], lambda x: p_size > x)) AS INTEGER) AS p_size_bin FROM part, q""")
 def d2_freq(spark, sf):
     return N.bin_equal_freq(table(spark, sf, "part").select("p_partkey", "p_size"), "p_size", 4).select(
@@ -414,7 +414,7 @@ def d2_freq(spark, sf):
 
 
 @reg("d2_freq_price", """
-WITH q AS (SELECT list_distinct(list_sort(quantile_cont(l_extendedprice, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e FROM lineitem)
+WITH q AS (SELECT list_sort(list_distinct(quantile_cont(l_extendedprice, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]))) AS e FROM lineitem)
 SELECT """ + LI_ID_SQL + """ AS id, CAST(len(list_filter(e[2:len(e)-1], lambda x: l_extendedprice > x)) AS INTEGER) AS l_extendedprice_bin
 FROM lineitem, q""")
 def d2_freq_price(spark, sf):

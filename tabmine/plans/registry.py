@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_prep
+from . import q_classify, q_prep
 
-MODULES = [q_prep]
+MODULES = [q_prep, q_classify]
 
 
 def all_queries():
