@@ -28,15 +28,23 @@ def _interp(lo_val: float, hi_val: float, frac: float) -> float:
     return lo_val + frac * (hi_val - lo_val)
 
 
-def _bracketed(df: DataFrame, col: str, n: int, probs: Sequence[float], bound: int) -> list[float]:
-    """Exact quantiles of a large column by iterative bracketing."""
-    x = F.col(col)
-    targets = []
+def _targets(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
+    out = []
     for p in probs:
         h = (n - 1) * p
         r0 = int(math.floor(h))
         r1 = min(r0 + 1, n - 1) if h > r0 else r0
-        targets.append((r0, r1, h - r0))
+        out.append((r0, r1, h - r0))
+    return out
+
+
+def _bracketed(df: DataFrame, col: str, n: int, probs: Sequence[float], bound: int,
+               targets: list | None = None) -> list[float]:
+    """Exact quantiles (or order statistics, via ``targets``) of a column by
+    iterative bracketing."""
+    x = F.col(col)
+    targets = targets if targets is not None else _targets(n, probs)
+    probs = list(probs) if targets is None else [0.0] * len(targets)
     lo = [None] * len(probs)
     hi = [None] * len(probs)
     below = [0] * len(probs)
@@ -127,6 +135,19 @@ def column_quantiles(
     return out
 
 
+def order_statistics(df: DataFrame, col: str, ranks: Sequence[int],
+                     bracket_bound: int = BRACKET_ROWS_BOUND) -> list[float | None]:
+    """Exact values at 0-based ranks of the ascending non-null column."""
+    n = int(df.agg(F.count(F.col(col)).alias("n")).first()["n"])
+    out: list[float | None] = []
+    valid = [(i, r) for i, r in enumerate(ranks) if 0 <= r < n]
+    res = _bracketed(df, col, n, [0.0] * len(valid), bracket_bound, [(r, r, 0.0) for _, r in valid]) if valid else []
+    got = {i: v for (i, _), v in zip(valid, res)}
+    for i in range(len(ranks)):
+        out.append(got.get(i))
+    return out
+
+
 def quantile_columns(cols: Sequence[str], probs: Sequence[float]) -> list[Column]:
     """Aggregate expressions for the exact quantiles of bounded-cardinality
     columns, for use inside a grouped ``agg``."""
