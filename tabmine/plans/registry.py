@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_classify, q_cluster, q_prep
+from . import q_classify, q_cluster, q_models, q_prep
 
-MODULES = [q_prep, q_classify, q_cluster]
+MODULES = [q_prep, q_classify, q_cluster, q_models]
 
 
 def all_queries():
