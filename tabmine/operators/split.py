@@ -18,6 +18,7 @@ from .profile import c
 BITS = 60
 LEVEL_BITS = 16
 FINAL_ROWS = 1_000_000
+MAX_LITERAL_GROUPS = 1000
 
 
 def hash_key(id_col: str, seed: int = 42):
@@ -83,7 +84,25 @@ def stratified_split(df: DataFrame, id_col: str, target: str, test: float = 0.2,
         c(target), "n", F.greatest(F.lit(1), F.floor(F.col("n") * F.lit(test))).cast("bigint").alias("k")
     )
     thr = _thresholds(keyed, target, want)
-    out = keyed.join(F.broadcast(thr), keyed[target].eqNullSafe(thr["__g"]), "left")
+    return _apply(df, keyed, target, thr)
+
+
+def _apply(df: DataFrame, keyed: DataFrame, group: str, thr: DataFrame) -> DataFrame:
+    """Mark rows at or below their group's threshold. The threshold table has
+    one row per class: when small it is collected once and becomes a literal
+    map, so the split is a plain projection for every later consumer."""
+    rows = thr.limit(MAX_LITERAL_GROUPS + 1).collect()
+    if len(rows) <= MAX_LITERAL_GROUPS:
+        key = F.struct("__hk", "__h", "__id")
+        cond = F.lit(False)
+        for r in rows:
+            t = r["__t"]
+            lit_t = F.struct(F.lit(t["__hk"]).alias("__hk"), F.lit(t["__h"]).alias("__h"),
+                             F.lit(t["__id"]).cast(dict(keyed.dtypes)["__id"]).alias("__id"))
+            grp = c(group).isNull() if r["__g"] is None else (c(group) == F.lit(r["__g"]))
+            cond = F.when(grp, key <= lit_t).otherwise(cond)
+        return keyed.select(*[c(x) for x in df.columns], F.coalesce(cond, F.lit(False)).alias("is_test"))
+    out = keyed.join(thr, keyed[group].eqNullSafe(thr["__g"]), "left")
     is_test = F.struct("__hk", "__h", "__id") <= F.col("__t")
     return out.select(*[c(x) for x in df.columns], F.coalesce(is_test, F.lit(False)).alias("is_test"))
 
@@ -99,9 +118,7 @@ def random_split(df: DataFrame, id_col: str, test: float = 0.2, seed: int = 42,
         "__all", "n", F.ceil(F.col("n") * F.lit(test)).cast("bigint").alias("k")
     ).where(F.col("k") >= 1)
     thr = _thresholds(keyed, "__all", want)
-    out = keyed.join(F.broadcast(thr), keyed["__all"] == thr["__g"], "left")
-    is_test = F.struct("__hk", "__h", "__id") <= F.col("__t")
-    return out.select(*[c(x) for x in df.columns], F.coalesce(is_test, F.lit(False)).alias("is_test"))
+    return _apply(df, keyed, "__all", thr)
 
 
 def auto_split(df: DataFrame, id_col: str, target: str, test: float = 0.2, seed: int = 42, stratify: bool = True) -> DataFrame:

@@ -24,7 +24,8 @@ from ..operators.kmeans import kmeans, random_init, vec_frame
 from ..operators.preprocess import Preprocessor
 from ..session import ensure_checkpoint_dir
 from ..sources import io as IO
-from .common import CUSTOMER_2D_SQL, LI_FEATURES, LI_ID_SQL, Q_NULL_SQL, customer_2d, embeddings, lineitem, table
+from .common import (CUSTOMER_2D_SQL, LI_FEATURES, LI_ID_SQL, Q_NULL_SQL, SUPPLIER_2D_SQL, customer_2d, lineitem,
+                     supplier_2d, table)
 from .q_classify import SPLIT_SQL, li_split
 from .q_cluster import emb_split
 
@@ -273,7 +274,7 @@ def v8_grid(spark, sf):
 # ---- hierarchies ------------------------------------------------------------------------
 
 def _agnes(spark, sf, linkage, k=4):
-    return H.agnes(embeddings(spark, sf), "vec_id", vec_col="vec", n_clusters=k, linkage=linkage)
+    return H.agnes(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=k, linkage=linkage)
 
 
 @reg("c8_agnes_ward")
@@ -303,37 +304,37 @@ def c10_linkage(spark, sf):
 
 @reg("c11_cut_k")
 def c11_cut_k(spark, sf):
-    labels, _, _ = H.agnes(customer_2d(spark, sf), "c_custkey", ["x", "y"], n_clusters=6, linkage="complete")
+    labels, _, _ = H.agnes(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=6, linkage="complete")
     return labels
 
 
 _CUT_T = 0.02
-_SL_SQL = f"""WITH RECURSIVE p AS {CU2},
-e AS (SELECT a.c_custkey AS s, b.c_custkey AS t FROM p a JOIN p b
+_SL_SQL = f"""WITH RECURSIVE p AS ({SUPPLIER_2D_SQL}),
+e AS (SELECT a.s_suppkey AS s, b.s_suppkey AS t FROM p a JOIN p b
       ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {_CUT_T}::DOUBLE),
-reach(src, dst) AS (SELECT c_custkey, c_custkey FROM p UNION SELECT r.src, e.t FROM reach r JOIN e ON e.s = r.dst)
-SELECT src AS c_custkey, min(dst) AS anchor FROM reach GROUP BY src"""
+reach(src, dst) AS (SELECT s_suppkey, s_suppkey FROM p UNION SELECT r.src, e.t FROM reach r JOIN e ON e.s = r.dst)
+SELECT src AS s_suppkey, min(dst) AS anchor FROM reach GROUP BY src"""
 
 
 @reg("c12_cut_dist", _SL_SQL)
 def c12_cut_dist(spark, sf):
     """Single linkage cut at distance t = components of the t-graph; each
     row reports the smallest id of its cluster."""
-    cu = customer_2d(spark, sf)
-    units, _, _, _ = H._units(cu, "c_custkey", ["x", "y"], None, 2000, 42)
+    su = supplier_2d(spark, sf)
+    units, _, _, _ = H._units(su, "s_suppkey", ["x", "y"], None, 2000, 42)
     merges = H.rac(units, "single")
     link = H.linkage_table(spark, merges, units)
     lab = H.cut_labels(spark, link, units, t=_CUT_T)
     return lab.groupBy("cluster").agg(F.min("uid").alias("anchor")).join(lab, "cluster").select(
-        F.col("uid").alias("c_custkey"), "anchor")
+        F.col("uid").alias("s_suppkey"), "anchor")
 
 
 @reg("q9_agnes_curve")
 def q9_agnes_curve(spark, sf):
     """Q9: one linkage table, cut at every k, silhouettes in one multi-label job."""
-    e = embeddings(spark, sf)
-    v = vec_frame(e, "vec_id", vec_col="vec")
-    units, row_map, _, _ = H._units(e, "vec_id", None, "vec", 2000, 42)
+    e = supplier_2d(spark, sf)
+    v = vec_frame(e, "s_suppkey", ["x", "y"])
+    units, row_map, _, _ = H._units(e, "s_suppkey", ["x", "y"], None, 2000, 42)
     link = H.linkage_table(spark, H.rac(units, "ward"), units)
     ks = list(range(2, 11))
     labs = None
@@ -353,13 +354,13 @@ def q13_cut(spark, sf):
 
 @reg("c13_diana3")
 def c13_diana3(spark, sf):
-    labels, _ = DI.diana(customer_2d(spark, sf), "c_custkey", ["x", "y"], n_clusters=3)
+    labels, _ = DI.diana(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=3)
     return labels
 
 
 @reg("c13_history")
 def c13_history(spark, sf):
-    _, hist = DI.diana(customer_2d(spark, sf), "c_custkey", ["x", "y"], n_clusters=4)
+    _, hist = DI.diana(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=4)
     return hist.select("split_cluster", "new_cluster", F.round("split_diameter", 6).alias("split_diameter"))
 
 
@@ -378,13 +379,13 @@ def c14_diameter(spark, sf):
 
 @reg("c15_splinter")
 def c15_splinter(spark, sf):
-    v = vec_frame(customer_2d(spark, sf), "c_custkey", ["x", "y"])
-    return DI.splinter_split(v).select(F.col("id").alias("c_custkey"), "side")
+    v = vec_frame(supplier_2d(spark, sf), "s_suppkey", ["x", "y"])
+    return DI.splinter_split(v).select(F.col("id").alias("s_suppkey"), "side")
 
 
 @reg("q10_diana_curve")
 def q10_diana_curve(spark, sf):
-    return DI.diana_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"], ks=range(2, 6))
+    return DI.diana_curve(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], ks=range(2, 6))
 
 
 @reg("q12_report")
