@@ -174,3 +174,12 @@ def eps_edges(queries: DataFrame, base: DataFrame, eps: float, metric: str = "eu
         return pd.DataFrame({"a": qp["id"].to_numpy()[i], "b": bp["id"].to_numpy()[j], "dist": d[i, j]})
 
     return block_join(queries, base, kernel, f"a {id_type}, b {id_type}, dist double", block_rows)
+
+
+def closest_pairs(df: DataFrame, n: int, metric: str = "euclidean", block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """J2 bare form, bounded: the n closest pairs (a < b). Every pair of the
+    global top n is among the n nearest neighbours of both its rows, so the
+    top-n join output (rows x n) holds them all."""
+    nn = knn_join(df, df, n, metric, exclude_self=True, block_rows=block_rows)
+    pairs = nn.select(F.least("q_id", "b_id").alias("a"), F.greatest("q_id", "b_id").alias("b"), "dist").distinct()
+    return pairs.orderBy("dist", "a", "b").limit(n)

@@ -469,3 +469,29 @@ def q8_sil_curve(spark, sf):
 
     return silhouette_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"], ks=range(2, 7), restarts=3)
 
+
+
+@reg("j2_pairs_topn", f"""
+SELECT a, b, round(dist, 6) AS dist FROM (
+  SELECT a.vec_id AS a, b.vec_id AS b, list_distance(a.vec, b.vec) AS dist FROM {EMB} a, {EMB} b WHERE a.vec_id < b.vec_id)
+ORDER BY dist, a, b LIMIT 20""")
+def j2_pairs_topn(spark, sf):
+    v = _vf(embeddings(spark, sf))
+    return J.closest_pairs(v, 20).select("a", "b", F.round("dist", 6).alias("dist"))
+
+
+@reg("c16_dispatch")
+def c16_dispatch(spark, sf):
+    from ..operators.dispatch import run_clustering
+
+    cu = customer_2d(spark, sf)
+    init = KM.random_init(KM.vec_frame(cu, "c_custkey", ["x", "y"]), 3, 42)
+    out = run_clustering("KMeans", {"n_clusters": 3, "init": init, "max_iter": 10}, cu, "c_custkey", ["x", "y"])
+    return out["metrics"].select("n_clusters", F.round("inertia", 4).alias("inertia"), F.round("silhouette", 4).alias("silhouette"))
+
+
+@reg("q11_best_k")
+def q11_best_k(spark, sf):
+    from ..operators.select import best_k, silhouette_curve
+
+    return best_k(silhouette_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"], ks=range(2, 6), restarts=2))
