@@ -400,25 +400,34 @@ def q12_report(spark, sf):
 
 # ---- run registry ----------------------------------------------------------------------
 
+_REGISTRY: dict = {}
+
+
 def _runs(spark, sf):
-    cu = customer_2d(spark, sf)
-    v = vec_frame(cu, "c_custkey", ["x", "y"])
+    """Three real clustering runs on the supplier table, appended to a
+    registry table once per session and table folder, then read back."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _REGISTRY:
+        return R.read_runs(spark, _REGISTRY[key])
+    su = supplier_2d(spark, sf)
+    v = vec_frame(su, "s_suppkey", ["x", "y"])
     rows = []
     for n, k in ((1, 3), (2, 4)):
-        res = kmeans(cu, "c_custkey", ["x", "y"], k=k, init=random_init(v, k, 42), max_iter=20)
-        lab = cu.join(res.labels, "c_custkey").select("c_custkey", F.array("x", "y").alias("vec"), "cluster")
-        met = cluster_metrics(lab, "c_custkey", "vec", "cluster")
-        rows.append(R.run_record(spark, n, "KMeans", {"n_clusters": k, "init": "random"}, "customer", ["x", "y"],
+        res = kmeans(su, "s_suppkey", ["x", "y"], k=k, init=random_init(v, k, 42), max_iter=20)
+        lab = su.join(res.labels, "s_suppkey").select("s_suppkey", F.array("x", "y").alias("vec"), "cluster")
+        met = cluster_metrics(lab, "s_suppkey", "vec", "cluster")
+        rows.append(R.run_record(spark, n, "KMeans", {"n_clusters": k, "init": "random"}, "supplier", ["x", "y"],
                                  lab, met))
     from ..operators.dbscan import dbscan
 
-    lab = dbscan(cu, "c_custkey", ["x", "y"], eps=0.03, min_samples=5).join(cu, "c_custkey").select(
-        "c_custkey", F.array("x", "y").alias("vec"), "cluster")
-    met = cluster_metrics(lab, "c_custkey", "vec", "cluster")
-    rows.append(R.run_record(spark, 3, "DBSCAN", {"eps": 0.03, "min_samples": 5}, "customer", ["x", "y"], lab, met))
+    lab = dbscan(su, "s_suppkey", ["x", "y"], eps=0.05, min_samples=3).join(su, "s_suppkey").select(
+        "s_suppkey", F.array("x", "y").alias("vec"), "cluster")
+    met = cluster_metrics(lab, "s_suppkey", "vec", "cluster")
+    rows.append(R.run_record(spark, 3, "DBSCAN", {"eps": 0.05, "min_samples": 3}, "supplier", ["x", "y"], lab, met))
     path = _scratch(spark, "runs")
     for r in rows:
         R.append_runs(r, path)
+    _REGISTRY[key] = path
     return R.read_runs(spark, path)
 
 
@@ -439,12 +448,12 @@ def r3_params(spark, sf):
 
 @reg("r4_compare")
 def r4_compare(spark, sf):
-    return R.compare_runs(_runs(spark, sf), "Run1_KMeans_k3", "Run3_DBSCAN_eps0.0_min5")
+    return R.compare_runs(_runs(spark, sf), "Run1_KMeans_k3", "Run3_DBSCAN_eps0.1_min3")
 
 
 @reg("r5_compatible")
 def r5_compatible(spark, sf):
-    return R.compatible_runs(_runs(spark, sf), customer_2d(spark, sf).columns)
+    return R.compatible_runs(_runs(spark, sf), supplier_2d(spark, sf).columns)
 
 
 @reg("r6_latest")
