@@ -31,9 +31,39 @@ def dot(a: Column, b: Column) -> Column:
     return _fold(a, b, lambda x, y: x.cast("double") * y.cast("double"))
 
 
-def distance(a: Column, b: Column, metric: str = "euclidean", p: float = 2.0) -> Column:
-    """Distance between two ARRAY columns of equal length."""
+def _unrolled(a: Column, b: Column, dims: int, metric: str, p: float) -> Column:
+    """Plain arithmetic over known dimensions: stays inside whole-stage codegen
+    (higher-order functions are interpreted)."""
+    def el(v, i):
+        return v[i].cast("double")
+
+    if metric in ("euclidean", "sqeuclidean"):
+        terms = [(el(a, i) - el(b, i)) * (el(a, i) - el(b, i)) for i in range(dims)]
+    elif metric == "manhattan":
+        terms = [F.abs(el(a, i) - el(b, i)) for i in range(dims)]
+    elif metric == "minkowski":
+        terms = [F.pow(F.abs(el(a, i) - el(b, i)), F.lit(p)) for i in range(dims)]
+    else:
+        dot_ = sum((el(a, i) * el(b, i) for i in range(1, dims)), el(a, 0) * el(b, 0))
+        na = F.sqrt(sum((el(a, i) * el(a, i) for i in range(1, dims)), el(a, 0) * el(a, 0)))
+        nb = F.sqrt(sum((el(b, i) * el(b, i) for i in range(1, dims)), el(b, 0) * el(b, 0)))
+        return F.lit(1.0) - dot_ / (na * nb)
+    s = terms[0]
+    for t in terms[1:]:
+        s = s + t
+    if metric == "euclidean":
+        return F.sqrt(s)
+    if metric == "minkowski":
+        return F.pow(s, F.lit(1.0 / p))
+    return s
+
+
+def distance(a: Column, b: Column, metric: str = "euclidean", p: float = 2.0, dims: int | None = None) -> Column:
+    """Distance between two ARRAY columns of equal length. With ``dims``
+    (small) the expression is unrolled so it compiles into generated code."""
     check_metric(metric)
+    if dims is not None and dims <= 16:
+        return _unrolled(a, b, dims, metric, p)
     if metric in ("euclidean", "sqeuclidean"):
         s = _fold(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
         return s if metric == "sqeuclidean" else F.sqrt(s)
@@ -64,6 +94,13 @@ def kernel(a: Column, b: Column, kind: str = "linear", gamma: float = 1.0, degre
 def nearest_center(vec: Column, centers: Sequence[Sequence[float]], metric: str = "euclidean") -> Column:
     """STRUCT(dist, idx) of the nearest of a small broadcast list of centres;
     ties go to the lowest index. Pure projection, no shuffle."""
+    d = len(centers[0]) if len(centers) else 0
+    if 0 < d and len(centers) * d <= 512:
+        # unrolled: every centre's distance is plain arithmetic (codegen)
+        structs = [F.struct(distance(vec, F.array(*[F.lit(float(v)) for v in c]), metric, dims=min(d, 16)
+                                     if d <= 16 else None).alias("dist"), F.lit(i).alias("idx"))
+                   for i, c in enumerate(centers)]
+        return F.array_min(F.array(*structs))
     arr = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
     pairs = F.transform(arr, lambda c, i: F.struct(distance(vec, c, metric).alias("dist"), i.alias("idx")))
     return F.array_min(pairs)

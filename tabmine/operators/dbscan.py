@@ -87,10 +87,7 @@ def dbscan(df: DataFrame, id_col: str, features: Sequence[str], eps: float = 0.5
     comp = connected_components(cells, edges)
     cp = core_pts.join(comp.withColumnRenamed("id", "ckey"), "ckey")
     start = cp.groupBy("comp").agg(F.min(F.struct("ord", "id", "vec")).alias("s"))
-    # one row per cluster: numbering window over the cluster table
-    from pyspark.sql import Window
-
-    start = start.withColumn("cluster", (F.dense_rank().over(Window.orderBy("s.ord", "s.id")) - 1).cast("int"))
+    start = _number_clusters(start)
     cp = cp.join(start.select("comp", "cluster"), "comp")
     core_lab = cp.select("id", "cluster", F.lit(True).alias("is_core"))
     # border rows: non-core rows with a core neighbour
@@ -101,16 +98,33 @@ def dbscan(df: DataFrame, id_col: str, features: Sequence[str], eps: float = 0.5
         pairs = _neighbour_rows(nonc, targets, _offsets(d), chunk_rows)
     else:
         pairs = nonc.join(edges_rows_for_border(nonc, targets, eps), "id")
-    within = distance(F.col("vec"), F.col("t_vec")) <= F.lit(eps)
+    dd = d if d <= 16 else None
+    within = distance(F.col("vec"), F.col("t_vec"), dims=dd) <= F.lit(eps)
     ok = within
     if border == "reference":
-        ok = within & ((F.col("ord") > F.col("t_s_ord")) | (distance(F.col("vec"), F.col("t_s_vec")) <= F.lit(eps)))
+        ok = within & ((F.col("ord") > F.col("t_s_ord")) | (distance(F.col("vec"), F.col("t_s_vec"), dims=dd) <= F.lit(eps)))
     bl = pairs.where(ok).groupBy("id").agg(F.min("t_cluster").alias("cluster"))
     nonc_lab = nonc.select("id").join(bl, "id", "left").select(
         "id", F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"), F.lit(False).alias("is_core"))
     return core_lab.unionByName(nonc_lab).withColumnRenamed("id", id_col)
 
 
+def _number_clusters(start: DataFrame) -> DataFrame:
+    """cluster = rank of the start core's (ord, id) among all clusters, from
+    range-bucketed running counts when the order key is numeric (no global
+    single-partition window over a cluster table that can grow with n)."""
+    from pyspark.sql import Window
+    from pyspark.sql.types import NumericType
+
+    from ..functions.ordered import running_sums
+
+    flat = start.select("comp", "s", F.col("s.ord").alias("s_ord"), F.col("s.id").alias("s_id"), F.lit(1).alias("one"))
+    if isinstance(flat.schema["s_ord"].dataType, NumericType):
+        ranked = running_sums(flat, "s_ord", ["one"], tie_cols=["s_id"])
+        return ranked.select("comp", "s", (F.col("cum_one") - 1).cast("int").alias("cluster"))
+    return start.withColumn("cluster", (F.dense_rank().over(Window.orderBy("s.ord", "s.id")) - 1).cast("int"))
+
+
 def edges_rows_for_border(nonc: DataFrame, targets: DataFrame, eps: float) -> DataFrame:
     """High-d border candidates: block join of non-core rows against core rows."""
     q = nonc.select("id", "vec", F.lit(None).cast("string").alias("lab"))
@@ -130,7 +144,7 @@ def _grid_core(pts: DataFrame, eps: float, min_samples: int, d: int, chunk_rows:
     dense = g.where(F.col("cn") >= min_samples)
     sparse = g.where(F.col("cn") < min_samples).select("id", "vec", "ord", "cell")
     pairs = _neighbour_rows(sparse, g.select("id", "vec", "cell"), offsets, chunk_rows)
-    nc = pairs.where(distance(F.col("vec"), F.col("t_vec")) <= F.lit(eps)).groupBy("id").agg(
+    nc = pairs.where(distance(F.col("vec"), F.col("t_vec"), dims=d) <= F.lit(eps)).groupBy("id").agg(
         F.count(F.lit(1)).alias("nn"))
     sp = sparse.join(nc, "id", "left").select("id", "vec", "ord", "cell",
                                               (F.coalesce("nn", F.lit(0)) >= min_samples).alias("is_core"))

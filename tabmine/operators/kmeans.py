@@ -50,30 +50,62 @@ def random_init(v: DataFrame, k: int, seed: int) -> np.ndarray:
 
 def kmeanspp_init(v: DataFrame, ks: dict, metric: str = "sqeuclidean") -> dict:
     """C2/C5 for many runs at once: the next centre of every run is drawn with
-    probability proportional to D^2 by Efraimidis-Spirakis keys -ln(u)/w,
-    one aggregate job per step for all runs. ``ks`` maps run -> (k, seed).
-    If every weight is 0 the draw is uniform."""
+    probability proportional to D^2 by Efraimidis-Spirakis keys -ln(u)/w
+    (u from a seeded hash of the row id), one job per step for all runs:
+    partitions return their best (key, row) per run and the driver keeps the
+    minimum. If every weight is 0 the draw is uniform."""
+    import pandas as pd
+
     runs = list(ks)
-    first = v.select(F.explode(F.array(*[
-        F.struct(F.lit(r).alias("run"), _uniform((ks[r][1], "pp", 0)).alias("key")) for r in runs
-    ])).alias("x"), "vec").groupBy("x.run").agg(F.min_by("vec", "x.key").alias("c")).collect()
-    chosen = {r["run"]: [np.array(r["c"], dtype=np.float64)] for r in first}
+    chosen: dict = {r: [] for r in runs}
     kmax = max(k for k, _ in ks.values())
-    for step in range(1, kmax):
+    for step in range(kmax):
         active = [r for r in runs if len(chosen[r]) < ks[r][0]]
         if not active:
             break
-        structs = []
-        for r in active:
-            dist = nearest_center(F.col("vec"), chosen[r], metric)["dist"]
-            w = dist if metric == "sqeuclidean" else dist * dist
-            u = _uniform((ks[r][1], "pp", step))
-            key = F.when(w > 0, -F.log(u) / w).otherwise(F.lit(float("inf")))
-            structs.append(F.struct(F.lit(r).alias("run"), key.alias("key"), (-F.log(u)).alias("tie")))
-        got = v.select(F.explode(F.array(*structs)).alias("x"), "vec").groupBy("x.run").agg(
-            F.min_by("vec", F.struct("x.key", "x.tie")).alias("c")).collect()
+        us = F.array(*[_uniform((ks[r][1], "pp", step)) for r in active])
+        cen = {r: (np.vstack(chosen[r]) if chosen[r] else None) for r in active}
+
+        def part(it, active=active, cen=cen):
+            best = {}
+            for pdf in it:
+                if len(pdf) == 0:
+                    continue
+                X = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["vec"].to_numpy()])
+                U = np.stack([np.asarray(u, dtype=np.float64) for u in pdf["u"].to_numpy()])
+                ids = pdf["id"].to_numpy()
+                for j, r in enumerate(active):
+                    tie = -np.log(U[:, j])
+                    if cen[r] is None:
+                        key = tie.copy()
+                    else:
+                        diff = X[:, None, :] - cen[r][None, :, :]
+                        if metric in ("sqeuclidean", "euclidean"):
+                            w = (diff * diff).sum(2).min(1)
+                        else:
+                            w = np.abs(diff).sum(2).min(1) ** 2
+                        with np.errstate(divide="ignore"):
+                            key = np.where(w > 0, tie / w, np.inf)
+                    order = np.lexsort((tie, key))
+                    i = order[0]
+                    cand = (float(key[i]), float(tie[i]), X[i].tolist())
+                    if r not in best or cand[:2] < best[r][:2]:
+                        best[r] = cand
+            if best:
+                yield pd.DataFrame([(r, k_, t_, x_) for r, (k_, t_, x_) in best.items()],
+                                   columns=["run", "key", "tie", "vec"])
+
+        got = v.select("id", "vec", us.alias("u")).mapInPandas(
+            part, "run int, key double, tie double, vec array<double>").collect()
+        pick: dict = {}
         for row in got:
-            chosen[row["run"]].append(np.array(row["c"], dtype=np.float64))
+            cand = (row["key"], row["tie"])
+            if row["run"] not in pick or cand < pick[row["run"]][0]:
+                pick[row["run"]] = (cand, row["vec"])
+        all_inf = [r for r in active if pick[r][0][0] == float("inf")]
+        for r in active:
+            chosen[r].append(np.array(pick[r][1], dtype=np.float64))
+        _ = all_inf  # all weights 0: the tie key (uniform draw) decided
     return {r: np.vstack(chosen[r]) for r in runs}
 
 
@@ -91,10 +123,7 @@ def lloyd(v: DataFrame, init: dict, max_iter: int = 100, tol: float = 1e-4, seed
         if not active:
             break
         runs = sorted(active)
-        structs = [F.struct(F.lit(r).alias("run"), nearest_center(F.col("vec"), centers[r])["idx"].alias("c"))
-                   for r in runs]
-        agg = v.select(F.explode(F.array(*structs)).alias("x"), "vec").groupBy("x.run", "x.c").agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(F.col("vec")[i]).alias(f"s{i}") for i in range(d)]).collect()
+        agg = _partial_sums(v, {r: centers[r] for r in runs}, d)
         by_run: dict = {r: {} for r in runs}
         for row in agg:
             by_run[row["run"]][row["c"]] = row
@@ -118,19 +147,70 @@ def lloyd(v: DataFrame, init: dict, max_iter: int = 100, tol: float = 1e-4, seed
     return {r: (assign[r], centers[r], n_iter[r]) for r in centers}
 
 
+def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
+    """One job: every partition assigns its rows to the nearest centre of
+    every run with NumPy (ties -> lowest index) and emits per (run, cluster)
+    count and coordinate sums; the tiny partial tables are summed by Spark."""
+    import pandas as pd
+
+    runs = sorted(centers)
+    cen = [np.asarray(centers[r], dtype=np.float64) for r in runs]
+
+    def part(it):
+        acc = {}
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            X = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["vec"].to_numpy()])
+            for r, C in zip(runs, cen):
+                diff = X[:, None, :] - C[None, :, :]
+                lab = np.argmin((diff * diff).sum(2), axis=1)
+                cnt = np.bincount(lab, minlength=len(C)).astype(np.int64)
+                sums = np.zeros((len(C), d))
+                np.add.at(sums, lab, X)
+                if r in acc:
+                    acc[r][0] += cnt
+                    acc[r][1] += sums
+                else:
+                    acc[r] = [cnt, sums]
+        rows = []
+        for r, (cnt, sums) in acc.items():
+            for j in range(len(cnt)):
+                if cnt[j]:
+                    rows.append((r, j, int(cnt[j]), sums[j].tolist()))
+        if rows:
+            yield pd.DataFrame(rows, columns=["run", "c", "n", "s"])
+
+    parts = v.select("vec").mapInPandas(part, "run int, c int, n bigint, s array<double>")
+    got = parts.groupBy("run", "c").agg(
+        F.sum("n").alias("n"),
+        F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), d),
+                    lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("s")).collect()
+    return [{"run": r["run"], "c": r["c"], "n": r["n"], **{f"s{i}": r["s"][i] for i in range(d)}} for r in got]
+
+
 def inertia_of(v: DataFrame, fits: dict) -> dict:
     """Sum of squared distances of every row to the reported centre of its
-    assigned cluster, for all runs in one job."""
+    assigned cluster, for all runs in one job (NumPy per partition)."""
+    import pandas as pd
+
     runs = sorted(fits)
-    parts = []
-    for r in runs:
-        a, rep, _ = fits[r]
-        idx = nearest_center(F.col("vec"), a)["idx"]
-        cen = F.array(*[F.array(*[F.lit(float(x)) for x in row]) for row in rep])
-        c = F.element_at(cen, idx + 1)
-        sq = F.aggregate(F.zip_with(F.col("vec"), c, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, z: s + z)
-        parts.append(F.struct(F.lit(r).alias("run"), sq.alias("sq")))
-    got = v.select(F.explode(F.array(*parts)).alias("x")).groupBy("x.run").agg(F.sum("x.sq").alias("i")).collect()
+
+    def part(it):
+        tot = {r: 0.0 for r in runs}
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            X = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["vec"].to_numpy()])
+            for r in runs:
+                a, rep, _ = fits[r]
+                diff = X[:, None, :] - np.asarray(a)[None, :, :]
+                lab = np.argmin((diff * diff).sum(2), axis=1)
+                e = X - np.asarray(rep)[lab]
+                tot[r] += float((e * e).sum())
+        yield pd.DataFrame({"run": runs, "i": [tot[r] for r in runs]})
+
+    got = v.select("vec").mapInPandas(part, "run int, i double").groupBy("run").agg(F.sum("i").alias("i")).collect()
     return {row["run"]: float(row["i"]) for row in got}
 
 

@@ -19,6 +19,7 @@ BITS = 60
 LEVEL_BITS = 16
 FINAL_ROWS = 1_000_000
 MAX_LITERAL_GROUPS = 1000
+MAX_BROADCAST_GROUPS = 100_000
 
 
 def hash_key(id_col: str, seed: int = 42):
@@ -33,6 +34,11 @@ def _thresholds(keyed: DataFrame, group: str, want: DataFrame) -> DataFrame:
     ``keyed`` has columns group, __hk (bigint), __h (string), __id;
     ``want`` has group, k (rank wanted, >= 1) and n (group size).
     """
+    small = want.count() <= MAX_BROADCAST_GROUPS  # one row per group: broadcast only under a checked bound
+
+    def side(t: DataFrame) -> DataFrame:
+        return F.broadcast(t) if small else t
+
     state = want.select(c(group).alias("__g"), F.col("k").alias("__k"), F.lit(0).cast("bigint").alias("__pre"),
                         F.lit(0).alias("__bits"), F.lit(0).cast("bigint").alias("__off"), F.col("n").alias("__n"))
     done = None
@@ -41,7 +47,7 @@ def _thresholds(keyed: DataFrame, group: str, want: DataFrame) -> DataFrame:
         live = state.where(F.col("__n") > FINAL_ROWS) if bits < BITS else state.limit(0)
         final = state.where(F.col("__n") <= FINAL_ROWS) if bits < BITS else state
         # groups whose remaining candidates are few: rank them exactly
-        cand = keyed.join(F.broadcast(final), keyed[group].eqNullSafe(final["__g"]))
+        cand = keyed.join(side(final), keyed[group].eqNullSafe(final["__g"]))
         if bits > 0:
             cand = cand.where(F.shiftright(F.col("__hk"), BITS - bits) == F.col("__pre"))
         w = Window.partitionBy("__g").orderBy("__hk", "__h", "__id")
@@ -54,7 +60,7 @@ def _thresholds(keyed: DataFrame, group: str, want: DataFrame) -> DataFrame:
         if bits >= BITS or live.limit(1).count() == 0:
             break
         nb = min(LEVEL_BITS, BITS - bits)
-        cand = keyed.join(F.broadcast(live), keyed[group].eqNullSafe(live["__g"]))
+        cand = keyed.join(side(live), keyed[group].eqNullSafe(live["__g"]))
         if bits > 0:
             cand = cand.where(F.shiftright(F.col("__hk"), BITS - bits) == F.col("__pre"))
         hist = cand.groupBy(
