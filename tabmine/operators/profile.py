@@ -173,10 +173,11 @@ def validate_algorithm(df: DataFrame, features: Sequence[str], algo: str, target
     if target is not None and min_classes is not None:
         cls = df.groupBy(c(target)).agg(F.count(F.lit(1)).alias("cn")).agg(
             F.count(F.lit(1)).alias("n_classes"), F.min("cn").alias("min_class")
-        )
-        base = base.crossJoin(cls)  # one row x one row
-        checks.append(("min_classes", "error", "n_classes", F.lit(min_classes), F.col("n_classes") >= min_classes))
-        checks.append(("min_class_count", "warning", "min_class", F.lit(2), F.col("min_class") >= 2))
+        ).first()  # one row of two counters
+        n_cls, min_cls = int(cls["n_classes"]), cls["min_class"]
+        checks.append(("min_classes", "error", F.lit(n_cls), F.lit(min_classes), F.lit(n_cls >= min_classes)))
+        checks.append(("min_class_count", "warning", F.lit(min_cls), F.lit(2),
+                       F.lit(min_cls is not None and min_cls >= 2)))
     parts = []
     for name, sev, obs, limit, ok in checks:
         obs_col = F.col(obs) if isinstance(obs, str) else obs
