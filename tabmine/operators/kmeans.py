@@ -147,6 +147,12 @@ def lloyd(v: DataFrame, init: dict, max_iter: int = 100, tol: float = 1e-4, seed
     return {r: (assign[r], centers[r], n_iter[r]) for r in centers}
 
 
+def _scalar_cols(v: DataFrame, d: int) -> DataFrame:
+    """Vector elements as plain DOUBLE columns: Arrow hands them to NumPy as
+    contiguous arrays (no per-row object conversion)."""
+    return v.select(*[F.col("vec")[i].alias(f"x{i}") for i in range(d)])
+
+
 def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
     """One job: every partition assigns its rows to the nearest centre of
     every run with NumPy (ties -> lowest index) and emits per (run, cluster)
@@ -161,13 +167,12 @@ def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            X = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["vec"].to_numpy()])
+            X = pdf.to_numpy(dtype=np.float64)
             for r, C in zip(runs, cen):
                 diff = X[:, None, :] - C[None, :, :]
                 lab = np.argmin((diff * diff).sum(2), axis=1)
                 cnt = np.bincount(lab, minlength=len(C)).astype(np.int64)
-                sums = np.zeros((len(C), d))
-                np.add.at(sums, lab, X)
+                sums = np.stack([np.bincount(lab, weights=X[:, j], minlength=len(C)) for j in range(d)], axis=1)
                 if r in acc:
                     acc[r][0] += cnt
                     acc[r][1] += sums
@@ -181,7 +186,7 @@ def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
         if rows:
             yield pd.DataFrame(rows, columns=["run", "c", "n", "s"])
 
-    parts = v.select("vec").mapInPandas(part, "run int, c int, n bigint, s array<double>")
+    parts = _scalar_cols(v, d).mapInPandas(part, "run int, c int, n bigint, s array<double>")
     got = parts.groupBy("run", "c").agg(
         F.sum("n").alias("n"),
         F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), d),
@@ -201,7 +206,7 @@ def inertia_of(v: DataFrame, fits: dict) -> dict:
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            X = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["vec"].to_numpy()])
+            X = pdf.to_numpy(dtype=np.float64)
             for r in runs:
                 a, rep, _ = fits[r]
                 diff = X[:, None, :] - np.asarray(a)[None, :, :]
@@ -210,7 +215,8 @@ def inertia_of(v: DataFrame, fits: dict) -> dict:
                 tot[r] += float((e * e).sum())
         yield pd.DataFrame({"run": runs, "i": [tot[r] for r in runs]})
 
-    got = v.select("vec").mapInPandas(part, "run int, i double").groupBy("run").agg(F.sum("i").alias("i")).collect()
+    d = np.asarray(fits[runs[0]][0]).shape[1]
+    got = _scalar_cols(v, d).mapInPandas(part, "run int, i double").groupBy("run").agg(F.sum("i").alias("i")).collect()
     return {row["run"]: float(row["i"]) for row in got}
 
 
