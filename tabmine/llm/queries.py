@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, mixing, token_files, topk, toxicity
+from pyspark.sql import functions as F
+
+from . import decontaminate, langid, mixing, ngram_lm, token_files, topk, toxicity
 from .common import SPACE_WORD, table
 
 
@@ -32,9 +34,14 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return langid.language(table(spark, sf, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    r = ngram_lm.lm_scores(table(spark, sf, "documents"))
+    return r.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op3_mixing, op5_toxicity, op6_decontamination, op7_pivot_top_k, op8_language)
+    for f in (op1_token_files, op3_mixing, op5_toxicity, op6_decontamination, op7_pivot_top_k, op8_language, op10_lm_scoring)
 }
 
 _OFFSETS = ", ".join(f"({k})" for k in range(mixing.OFFSETS))
@@ -100,4 +107,25 @@ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
-SQL = {"op3_mixing": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_pivot_top_k": OP7_SQL}
+OP10_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS ws FROM documents),
+p AS (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS p FROM d),
+g AS (
+  SELECT rid, p, n, array_to_string(ws[p : p + n - 1], ' ') AS g FROM p CROSS JOIN (VALUES (1), (2), (3)) o(n) WHERE p + n - 1 <= len(ws)),
+c AS (SELECT n, g, count(*) AS c FROM g GROUP BY n, g),
+own AS (SELECT rid, n, g, count(*) AS o FROM g GROUP BY rid, n, g),
+k AS (SELECT g.rid, g.p, g.n, (c.c - own.o)::DOUBLE AS k FROM g JOIN c ON g.n = c.n AND g.g = c.g JOIN own ON g.rid = own.rid AND g.n = own.n AND g.g = own.g),
+r AS (SELECT rid, greatest((SELECT sum(len(ws)) FROM d) - len(ws), 1)::DOUBLE AS rest FROM d),
+v1 AS (SELECT k.rid, k.p, CASE WHEN k.k > 0 THEN k.k ELSE {ngram_lm.ALPHA}::DOUBLE END / r.rest AS v FROM k JOIN r USING (rid) WHERE k.n = 1),
+v2 AS (
+  SELECT v1.rid, v1.p, CASE WHEN b.k IS NULL THEN v1.v WHEN b.k > 0 THEN b.k / a.k ELSE {ngram_lm.ALPHA}::DOUBLE * v1.v END AS v
+  FROM v1 LEFT JOIN k b ON b.n = 2 AND b.rid = v1.rid AND b.p = v1.p - 1 LEFT JOIN k a ON a.n = 1 AND a.rid = v1.rid AND a.p = v1.p - 1),
+v3 AS (
+  SELECT v2.rid, v2.p, CASE WHEN b.k IS NULL THEN v2.v WHEN b.k > 0 THEN b.k / a.k ELSE {ngram_lm.ALPHA}::DOUBLE * v2.v END AS v
+  FROM v2 LEFT JOIN k b ON b.n = 3 AND b.rid = v2.rid AND b.p = v2.p - 2 LEFT JOIN k a ON a.n = 2 AND a.rid = v2.rid AND a.p = v2.p - 2),
+s AS (SELECT rid, sum(ln(v)) AS s FROM v3 GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 6) AS log_score, CASE WHEN len(ws) > 0 THEN round(s / len(ws), 6) END AS mean_log_score
+FROM d LEFT JOIN s USING (rid)
+"""
+
+SQL = {"op3_mixing": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_pivot_top_k": OP7_SQL, "op10_lm_scoring": OP10_SQL}
