@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, ngram_lm, token_files, topk, toxicity
+from . import decontaminate, langid, mixing, near_dup, ngram_lm, phrases, substrings, token_files, topk, toxicity
 from .common import SPACE_WORD, table
 
 
@@ -14,10 +14,18 @@ def op1_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.token_output(table(spark, sf, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf, "documents"), words=2)
+
+
 def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(table(spark, sf, "documents"))
 
 
+def op4_phrase_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.remove_repeats(table(spark, sf, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -34,6 +42,10 @@ def op8_language(spark: SparkSession, sf: str) -> DataFrame:
     return langid.language(table(spark, sf, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf, "documents"))
+
+
 def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     r = ngram_lm.lm_scores(table(spark, sf, "documents"))
     return r.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
@@ -41,7 +53,18 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_token_files, op3_mixing, op5_toxicity, op6_decontamination, op7_pivot_top_k, op8_language, op10_lm_scoring)
+    for f in (
+        op1_token_files,
+        op2_near_duplicates,
+        op3_mixing,
+        op4_phrase_dedup,
+        op5_toxicity,
+        op6_decontamination,
+        op7_pivot_top_k,
+        op8_language,
+        op9_suffix_dedup,
+        op10_lm_scoring,
+    )
 }
 
 _OFFSETS = ", ".join(f"({k})" for k in range(mixing.OFFSETS))
