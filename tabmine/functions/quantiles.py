@@ -38,66 +38,72 @@ def _targets(n: int, probs: Sequence[float]) -> list[tuple[int, int, float]]:
     return out
 
 
-def _bracketed(df: DataFrame, col: str, n: int, probs: Sequence[float], bound: int,
-               targets: list | None = None) -> list[float]:
-    """Exact quantiles (or order statistics, via ``targets``) of a column by
-    iterative bracketing."""
+def _order_statistics(df: DataFrame, col: str, n: int, ranks: Sequence[int], bound: int) -> dict[int, float]:
+    """Exact values at 0-based ranks among the ``n`` non-null rows of a column.
+
+    Each rank keeps an open bracket (lo, hi). A pass takes three approximate
+    quantiles around the rank inside the bracket and counts the rows below and
+    up to each: either one of them is the answer (any number of equal values
+    counts as one), or the bracket narrows to the gap between two of them,
+    which leaves out at least one value. Brackets of at most ``bound`` rows are
+    sorted. So the loop ends for every column."""
     x = F.col(col)
-    targets = targets if targets is not None else _targets(n, probs)
-    probs = list(probs) if targets is None else [0.0] * len(targets)
-    lo = [None] * len(probs)
-    hi = [None] * len(probs)
-    below = [0] * len(probs)
-    inside = [n] * len(probs)
-    result: list[float | None] = [None] * len(probs)
-    pending = list(range(len(probs)))
-    for _ in range(12):
-        if not pending:
-            break
-
-        def in_bracket(i: int) -> Column:
-            cond = x.isNotNull()
-            if lo[i] is not None:
-                cond = cond & (x >= F.lit(lo[i]))
-            if hi[i] is not None:
-                cond = cond & (x <= F.lit(hi[i]))
-            return cond
-
-        small = [i for i in pending if inside[i] <= bound]
-        large = [i for i in pending if inside[i] > bound]
-        aggs = []
-        for i in small:
-            aggs.append(F.sort_array(F.collect_list(F.when(in_bracket(i), x))).alias(f"v{i}"))
-        margin = 2.0 / APPROX_ACCURACY
-        for i in large:
-            r0, r1, _ = targets[i]
-            m = inside[i]
-            p_lo = max(0.0, (r0 - below[i]) / max(m - 1, 1) - margin)
-            p_hi = min(1.0, (r1 - below[i]) / max(m - 1, 1) + margin)
-            aggs.append(
-                F.percentile_approx(F.when(in_bracket(i), x), [p_lo, p_hi], APPROX_ACCURACY).alias(f"a{i}")
-            )
+    lo: dict[int, float | None] = dict.fromkeys(ranks)
+    hi: dict[int, float | None] = dict.fromkeys(ranks)
+    below = dict.fromkeys(ranks, 0)
+    inside = dict.fromkeys(ranks, n)
+    result: dict[int, float] = {}
+
+    def bracket(r: int) -> Column:
+        cond = x.isNotNull()
+        if lo[r] is not None:
+            cond = cond & (x > F.lit(lo[r]))
+        if hi[r] is not None:
+            cond = cond & (x < F.lit(hi[r]))
+        return cond
+
+    pending = sorted(lo)
+    margin = 2.0 / APPROX_ACCURACY
+    while pending:
+        small = [r for r in pending if inside[r] <= bound]
+        large = [r for r in pending if inside[r] > bound]
+        aggs = [F.sort_array(F.collect_list(F.when(bracket(r), x))).alias(f"v{r}") for r in small]
+        for r in large:
+            p = (r - below[r]) / max(inside[r] - 1, 1)
+            aggs.append(F.percentile_approx(F.when(bracket(r), x), [max(0.0, p - margin), p, min(1.0, p + margin)], APPROX_ACCURACY).alias(f"a{r}"))
         row = df.agg(*aggs).first()
-        for i in small:
-            vals = row[f"v{i}"]
-            r0, r1, frac = targets[i]
-            result[i] = _interp(float(vals[r0 - below[i]]), float(vals[r1 - below[i]]), frac)
-        if not large:
-            break
-        for i in large:
-            a = row[f"a{i}"]
-            lo[i], hi[i] = float(a[0]), float(a[1])
-        cnt = df.agg(
-            *[F.sum(F.when(x < F.lit(lo[i]), 1).otherwise(0)).alias(f"b{i}") for i in large],
-            *[F.sum(F.when(in_bracket(i), 1).otherwise(0)).alias(f"c{i}") for i in large],
-        ).first()
-        for i in large:
-            below[i] = int(cnt[f"b{i}"] or 0)
-            inside[i] = int(cnt[f"c{i}"] or 0)
-        pending = large
+        for r in small:
+            result[r] = float(row[f"v{r}"][r - below[r]])
+        pivots = {r: sorted(set(map(float, row[f"a{r}"]))) for r in large}
+        if large:
+            cnt = df.agg(
+                *[F.count_if(x < F.lit(v)).alias(f"l{r}_{k}") for r in large for k, v in enumerate(pivots[r])],
+                *[F.count_if(x <= F.lit(v)).alias(f"e{r}_{k}") for r in large for k, v in enumerate(pivots[r])],
+            ).first()
+        for r in large:
+            top = below[r] + inside[r]
+            for k, v in enumerate(pivots[r]):
+                less, upto = cnt[f"l{r}_{k}"], cnt[f"e{r}_{k}"]
+                if upto <= r:
+                    lo[r], below[r] = v, upto
+                elif less <= r:
+                    result[r] = v
+                    break
+                else:
+                    hi[r], top = v, less
+                    break
+            inside[r] = top - below[r]
+        pending = [r for r in large if r not in result]
     return result
 
 
+def _bracketed(df: DataFrame, col: str, n: int, probs: Sequence[float], bound: int) -> list[float]:
+    """Exact interpolated quantiles of a column from its order statistics."""
+    targets = _targets(n, probs)
+    got = _order_statistics(df, col, n, sorted({r for a, b, _ in targets for r in (a, b)}), bound)
+    return [_interp(got[a], got[b], frac) for a, b, frac in targets]
+
+
 def column_quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -139,13 +145,8 @@ def order_statistics(df: DataFrame, col: str, ranks: Sequence[int],
                      bracket_bound: int = BRACKET_ROWS_BOUND) -> list[float | None]:
     """Exact values at 0-based ranks of the ascending non-null column."""
     n = int(df.agg(F.count(F.col(col)).alias("n")).first()["n"])
-    out: list[float | None] = []
-    valid = [(i, r) for i, r in enumerate(ranks) if 0 <= r < n]
-    res = _bracketed(df, col, n, [0.0] * len(valid), bracket_bound, [(r, r, 0.0) for _, r in valid]) if valid else []
-    got = {i: v for (i, _), v in zip(valid, res)}
-    for i in range(len(ranks)):
-        out.append(got.get(i))
-    return out
+    got = _order_statistics(df, col, n, sorted({r for r in ranks if 0 <= r < n}), bracket_bound)
+    return [got.get(r) for r in ranks]
 
 
 def quantile_columns(cols: Sequence[str], probs: Sequence[float]) -> list[Column]:

@@ -222,10 +222,10 @@ def v2_vote(spark, sf):
 
 
 @reg("v7_explain", _VOTES_SQL + f""" SELECT id, {_PRED_SQL} AS prediction,
-  round(greatest(abs(d01), abs(d02), abs(d12)), 6) AS confidence, l_returnflag = ({_PRED_SQL}) AS correct FROM v""")
+  round(greatest(abs(d01), abs(d02), abs(d12)), 9) AS confidence, l_returnflag = ({_PRED_SQL}) AS correct FROM v""")
 def v7_explain(spark, sf):
     out = _fixed_model().transform(_li_vec(spark, sf), "vec")
-    return out.select("id", "prediction", F.round("confidence", 6).alias("confidence"),
+    return out.select("id", "prediction", F.round("confidence", 9).alias("confidence"),
                       (F.col("l_returnflag") == F.col("prediction")).alias("correct"))
 
 
@@ -240,12 +240,12 @@ def _bin_model():
 _BIN_DEC = " + ".join(f"{wi!r}::DOUBLE * {x}" for wi, x in zip(_BIN_W[0], LI_FEATURES)) + f" + {_BIN_W[1]!r}::DOUBLE"
 
 
-@reg("v3_decision", f"""SELECT {LI_ID_SQL} AS id, round({_BIN_DEC}, 6) AS decision,
-  CASE WHEN {_BIN_DEC} >= 0 THEN 'O' ELSE 'F' END AS prediction, round(1 / (1 + exp(-({_BIN_DEC}))), 6) AS proba FROM lineitem""")
+@reg("v3_decision", f"""SELECT {LI_ID_SQL} AS id, round({_BIN_DEC}, 9) AS decision,
+  CASE WHEN {_BIN_DEC} >= 0 THEN 'O' ELSE 'F' END AS prediction, round(1 / (1 + exp(-({_BIN_DEC}))), 9) AS proba FROM lineitem""")
 def v3_decision(spark, sf):
     out = _bin_model().transform(_li_vec(spark, sf), "vec")
-    return out.select("id", F.round("decision", 6).alias("decision"), "prediction",
-                      F.round(F.col("proba")[1], 6).alias("proba"))
+    return out.select("id", F.round("decision", 9).alias("decision"), "prediction",
+                      F.round(F.col("proba")[1], 9).alias("proba"))
 
 
 @reg("v5_support", f"""SELECT l_linestatus AS class, count(*)::BIGINT AS n_support FROM lineitem
