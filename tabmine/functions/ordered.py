@@ -1,48 +1,39 @@
 """Global running sums without a single-partition window.
 
-Rows are cut into range buckets of the order key (edges from
-``percentile_approx``); running sums are computed per bucket, and a carry
-table with one row per bucket (size = number of buckets, a fixed bound)
-adds the totals of all earlier buckets.
+Rows are range-partitioned by all order columns, so that equal keys spread
+over partitions by their ties, and checkpointed with the number of their
+partition. Running sums are computed inside each partition, and a carry table
+with one row per partition adds the totals of all earlier ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
-def range_bucket(df: DataFrame, key: str, n_buckets: int, descending: bool = False):
-    """Column: bucket index of ``key`` under approximate quantile edges, numbered
-    in the requested direction. Equal keys always share a bucket."""
-    if n_buckets <= 1:
-        return F.lit(0)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.agg(F.percentile_approx(F.col(key), probs, 10_000).alias("e")).first()["e"] or []
-    edges = sorted(set(edges))
-    if not edges:
-        return F.lit(0)
-    arr = F.array(*[F.lit(e) for e in edges])
-    if descending:
-        return F.aggregate(arr, F.lit(0), lambda acc, e: acc + F.when(F.col(key) < e, 1).otherwise(0))
-    return F.aggregate(arr, F.lit(0), lambda acc, e: acc + F.when(F.col(key) > e, 1).otherwise(0))
+
+def placed(df: DataFrame, order: Sequence[Column], n_parts: int | None = None, name: str = "__b") -> DataFrame:
+    """``df`` range-partitioned by ``order``, with its partition number (rising
+    in that order) as a stored column."""
+    if n_parts is None:
+        n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut_lineage(df.repartitionByRange(max(1, n_parts), *order).withColumn(name, F.spark_partition_id()))
 
 
 def running_sums(df: DataFrame, key: str, value_cols: Sequence[str], descending: bool = False,
                  n_buckets: int | None = None, tie_cols: Sequence[str] = ()) -> DataFrame:
     """Adds ``cum_<v>`` = sum of v over all rows up to and including this one
-    in (key, tie_cols) order."""
-    spark = df.sparkSession
-    if n_buckets is None:
-        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    b = df.withColumn("__b", range_bucket(df, key, n_buckets, descending))
+    in (key, tie_cols) order. Keys may be of any ordered type."""
     order = [F.col(key).desc() if descending else F.col(key).asc()] + [F.col(t).asc() for t in tie_cols]
+    b = placed(df, order, n_buckets)
     w = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = b.select("*", *[F.sum(v).over(w).alias(f"__lc_{v}") for v in value_cols])
     totals = b.groupBy("__b").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    # carry table: one row per bucket, bounded by n_buckets
+    # carry table: one row per partition
     wc = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(F.col("__b").alias("__cb"),
                           *[F.coalesce(F.sum(f"__t_{v}").over(wc), F.lit(0)).alias(f"__c_{v}") for v in value_cols])
@@ -51,3 +42,10 @@ def running_sums(df: DataFrame, key: str, value_cols: Sequence[str], descending:
         *[F.col(x) for x in df.columns],
         *[(F.col(f"__lc_{v}") + F.col(f"__c_{v}")).alias(f"cum_{v}") for v in value_cols],
     )
+
+
+def row_index(df: DataFrame, order_cols: Sequence[str], out: str = "idx") -> DataFrame:
+    """Adds ``out`` = 0-based row number in the order of ``order_cols`` (of any type)."""
+    one = df.withColumn("__one", F.lit(1).cast("bigint"))
+    got = running_sums(one, order_cols[0], ["__one"], tie_cols=order_cols[1:])
+    return got.withColumn(out, F.col("cum___one") - 1).drop("__one", "cum___one")

@@ -4,6 +4,8 @@ arithmetic on that small table."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -223,10 +225,20 @@ def average_precision(curve: DataFrame, digits: int = 6) -> DataFrame:
     return curve.agg(F.round(F.sum("ap_term"), digits).alias("average_precision"))
 
 
+def _listed(order: Sequence | None):
+    """Place of a model in the list; those not listed come after."""
+    if not order:
+        return F.lit(0)
+    place = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))
+    return F.when(place > 0, place).otherwise(F.lit(len(order) + 1))
+
+
 def compare_metrics(preds: DataFrame, key: str = "algo", y: str = "y_true", yhat: str = "prediction",
-                    digits: int = 4) -> DataFrame:
-    """Accuracy, weighted precision, recall and F1 (as %) per model,
-    with the rank of each model on accuracy (first max wins)."""
+                    digits: int = 4, order: Sequence | None = None) -> DataFrame:
+    """Accuracy, precision, recall and F1 (as %) per model, with the rank
+    of each model on accuracy. A model with exactly two labels (true or
+    predicted) is scored on the greater one, any other by support-weighted
+    means. Equal accuracies rank in the listed ``order``, then by model."""
     cc = preds.groupBy(F.col(key).alias("model"), F.col(y).alias("y_true"), F.col(yhat).alias("y_pred")).agg(
         F.count(F.lit(1)).alias("n"))
     t = cc.groupBy("model", F.col("y_true").alias("label")).agg(
@@ -243,9 +255,14 @@ def compare_metrics(preds: DataFrame, key: str = "algo", y: str = "y_true", yhat
         (F.sum(F.col("p") * F.col("support")) / F.sum("support")).alias("precision"),
         (F.sum(F.col("r") * F.col("support")) / F.sum("support")).alias("recall"),
         F.count(F.lit(1)).alias("n_labels"),
+        F.max_by("p", "label").alias("p_pos"),
+        F.max_by("r", "label").alias("r_pos"),
     )
+    two = F.col("n_labels") == 2
+    a = a.withColumn("precision", F.when(two, F.col("p_pos")).otherwise(F.col("precision"))).withColumn(
+        "recall", F.when(two, F.col("r_pos")).otherwise(F.col("recall")))
     a = a.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
-    w = Window.partitionBy(F.lit(0)).orderBy(F.desc("accuracy"), F.asc("model"))  # one row per model
+    w = Window.partitionBy(F.lit(0)).orderBy(F.desc("accuracy"), _listed(order), F.asc("model"))  # one row per model
     return a.select(
         F.col("model").alias(key),
         *[F.round(F.col(m) * 100, digits).alias(f"{m}_pct") for m in ("accuracy", "precision", "recall", "f1")],

@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
-def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """vertices(id), edges(a, b) undirected -> (id, comp) with comp = the
-    smallest id of the component."""
+    smallest id of the component. Rounds go on until no label changes; labels
+    only fall, so they end."""
     lab = cut_lineage(vertices.select(F.col("id"), F.col("id").alias("comp")).distinct())
     e = edges.select("a", "b").where(F.col("a") != F.col("b"))
     e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     e = cut_lineage(e)
-    for _ in range(max_rounds):
+    while True:
         # propagate: each vertex takes the smallest label among its neighbours
         cand = e.join(lab.withColumnRenamed("id", "b").withColumnRenamed("comp", "lb"), "b").groupBy(
             F.col("a").alias("id")).agg(F.min("lb").alias("cand"))
@@ -30,5 +31,4 @@ def connected_components(vertices: DataFrame, edges: DataFrame, max_rounds: int
         changed = new.join(lab.withColumnRenamed("comp", "old"), "id").where(F.col("comp") != F.col("old")).limit(1).count()
         lab = new
         if changed == 0:
-            break
-    return lab
+            return lab

@@ -111,18 +111,13 @@ def dbscan(df: DataFrame, id_col: str, features: Sequence[str], eps: float = 0.5
 
 def _number_clusters(start: DataFrame) -> DataFrame:
     """cluster = rank of the start core's (ord, id) among all clusters, from
-    range-bucketed running counts when the order key is numeric (no global
-    single-partition window over a cluster table that can grow with n)."""
-    from pyspark.sql import Window
-    from pyspark.sql.types import NumericType
-
-    from ..functions.ordered import running_sums
-
-    flat = start.select("comp", "s", F.col("s.ord").alias("s_ord"), F.col("s.id").alias("s_id"), F.lit(1).alias("one"))
-    if isinstance(flat.schema["s_ord"].dataType, NumericType):
-        ranked = running_sums(flat, "s_ord", ["one"], tie_cols=["s_id"])
-        return ranked.select("comp", "s", (F.col("cum_one") - 1).cast("int").alias("cluster"))
-    return start.withColumn("cluster", (F.dense_rank().over(Window.orderBy("s.ord", "s.id")) - 1).cast("int"))
+    range-partitioned running counts (no global single-partition window over a
+    cluster table that can grow with n)."""
+    from ..functions.ordered import row_index
+
+    flat = start.select("comp", "s", F.col("s.ord").alias("s_ord"), F.col("s.id").alias("s_id"))
+    ranked = row_index(flat, ["s_ord", "s_id"], "cluster")
+    return ranked.select("comp", "s", F.col("cluster").cast("int").alias("cluster"))
 
 
 def edges_rows_for_border(nonc: DataFrame, targets: DataFrame, eps: float) -> DataFrame:

@@ -51,7 +51,7 @@ def cluster_diameter(v: DataFrame, metric: str = "euclidean", block_rows: int =
 
 
 def splinter_split(v: DataFrame, metric: str = "euclidean", compat: bool = False,
-                   block_rows: int = DEFAULT_BLOCK_ROWS, max_rounds: int = 10_000) -> DataFrame:
+                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """(id, side) with side 1 for the splinter group B. ``compat=True``
     keeps the reference's behaviour that a lone A-row (mean distance inf)
     also moves, so A can empty; by default A keeps at least one row."""
@@ -67,7 +67,7 @@ def splinter_split(v: DataFrame, metric: str = "euclidean", compat: bool = False
         (F.col("tot") - F.col("ds")).alias("sumA"), F.col("ds").alias("sumB"))
     st = cut_lineage(st)
     n_a, n_b = n - 1, 1
-    for _r in range(max_rounds):
+    while True:  # every round moves a row out of A, so rounds end
         avg_a = F.when(F.lit(n_a - 1) > 0, F.col("sumA") / F.lit(max(n_a - 1, 1))).otherwise(F.lit(float("inf")))
         avg_b = F.col("sumB") / F.lit(n_b)
         cand = st.where(F.col("inA") & (avg_b < avg_a)).select("id", (avg_a - avg_b).alias("gap"))

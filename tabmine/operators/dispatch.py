@@ -29,7 +29,7 @@ def run_clustering(algo: str, params: dict, df: DataFrame, id_col: str, features
         from .kmedoids import kmedoids
 
         r = kmedoids(df, id_col, feats, k=int(params.get("n_clusters", 3)), metric=params.get("metric", "euclidean"),
-                     max_iter=int(params.get("max_iter", 300)))
+                     max_iter=int(params.get("max_iter", 300)), mode=params.get("mode", "exact"))
         labels, extras = r.labels, {"medoid_ids": r.medoid_ids, "inertia": r.inertia}
     elif algo == "DBSCAN":
         from .dbscan import dbscan
@@ -38,9 +38,9 @@ def run_clustering(algo: str, params: dict, df: DataFrame, id_col: str, features
     elif algo == "AGNES":
         from .hierarchy import agnes
 
-        labels, link, mode = agnes(df, id_col, feats, int(params.get("n_clusters", 2)), params.get("linkage", "ward"),
-                                   params.get("metric", "euclidean"))
-        extras = {"linkage": link, "mode": mode}
+        labels, link = agnes(df, id_col, feats, int(params.get("n_clusters", 2)), params.get("linkage", "ward"),
+                             params.get("metric", "euclidean"), mode=params.get("mode", "exact"))
+        extras = {"linkage": link}
     elif algo == "DIANA":
         from .diana import diana
 

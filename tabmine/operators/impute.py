@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ordered import placed
 from ..functions.quantiles import column_quantiles
 from ..sources.io import normalize_missing
 from .profile import c, numeric_columns
@@ -101,35 +102,18 @@ def impute_class_mean(df: DataFrame, target: str, cols: Sequence[str] | None = N
     )
 
 
-def _order_buckets(df: DataFrame, key: str, n_buckets: int):
-    """Bucket number of the primary order key by global approximate quantiles,
-    so an ordered scan splits into n_buckets independent, balanced ranges."""
-    if n_buckets <= 1:
-        return F.lit(0)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges = df.agg(F.percentile_approx(c(key), probs, 10_000).alias("e")).first()["e"] or []
-    edges = sorted(set(edges))
-    if not edges:
-        return F.lit(0)
-    return F.aggregate(
-        F.array(*[F.lit(e) for e in edges]), F.lit(0), lambda acc, e: acc + F.when(c(key) > e, 1).otherwise(0)
-    )
-
-
 def _directional_fill(df: DataFrame, cols: Sequence[str], order_by: Sequence[str], partition_by: Sequence[str],
                       reverse: bool, n_buckets: int | None) -> DataFrame:
     """Fill in order and then fill the remainder the other way.
 
-    Rows are cut into (partition keys, order-key range bucket) pieces so that
-    no task sorts a whole hot partition; a carry table of one row per piece
-    passes the last non-null value across piece borders.
+    Rows are range-partitioned by partition keys and all order columns, so that
+    neither a hot partition key nor a hot order value is sorted in one task; a
+    carry table of one row per (partition key, range partition) passes the
+    last non-null value across the borders.
     """
-    spark = df.sparkSession
-    if n_buckets is None:
-        n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     pk = [c(p) for p in partition_by]
     o = [c(x).desc() if reverse else c(x).asc() for x in order_by]
-    b = df.withColumn("__b", _order_buckets(df, order_by[0], n_buckets))
+    b = placed(df, [*pk, *[c(x).asc() for x in order_by]], n_buckets)
     bucket_dir = F.col("__b").desc() if reverse else F.col("__b").asc()
     w_in = Window.partitionBy(*pk, "__b").orderBy(*o)
     run = w_in.rowsBetween(Window.unboundedPreceding, 0)
@@ -180,7 +164,8 @@ def impute_bfill(df: DataFrame, cols: Sequence[str], order_by: Sequence[str],
 
 
 def impute(df: DataFrame, global_strategy: str | None, per_column: Mapping[str, str] | None = None,
-           order_by: Sequence[str] | None = None, target: str | None = None) -> DataFrame:
+           order_by: Sequence[str] | None = None, target: str | None = None, id_col: str | None = None,
+           k: int = 5) -> DataFrame:
     """Per-column strategies first (mean, median, ffill, bfill, drop),
     then the global strategy on what is left. A global strategy of None
     skips everything (reference behaviour)."""
@@ -221,4 +206,10 @@ def impute(df: DataFrame, global_strategy: str | None, per_column: Mapping[str,
         if target is None:
             raise ValueError("class_mean needs a target")
         return impute_class_mean(out, target)
+    if g == "knn":
+        from .knn import impute_knn
+
+        if id_col is None:
+            raise ValueError("knn needs an id column")
+        return impute_knn(out, id_col, [x for x in numeric_columns(out) if x not in (id_col, target)], k)
     raise ValueError(f"unknown strategy {g!r}")

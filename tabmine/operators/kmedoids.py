@@ -2,9 +2,10 @@
 
 Assignment is a projection over the k broadcast medoids. The update scores
 candidate medoids per cluster: ``exact`` scores every member through the
-block join restricted to same-cluster pairs (bounded memory per task);
-``sample`` scores a seeded sample of s members plus the current medoid
-against every member in one pass (CLARA idea), for large clusters.
+block join, which computes all pairs of two blocks and keeps those of one
+cluster (bounded memory per task); ``sample`` scores a seeded sample of s
+members plus the current medoid against every member in one pass (CLARA
+idea), for large clusters. The caller chooses; the row count switches nothing.
 """
 
 from __future__ import annotations
@@ -49,8 +50,8 @@ def _member_costs_exact(v: DataFrame, labels_col, metric: str, block_rows: int)
     return costs.join(x.select("id", F.col("lab").cast("int").alias("cluster")), "id")
 
 
-def _member_costs_sample(v: DataFrame, labels_col, medoids: np.ndarray, metric: str, s: int, seed: int, it: int):
-    """Candidates: s seeded members per cluster plus the current medoid."""
+def _member_costs_sample(v: DataFrame, labels_col, ids: list, medoids: np.ndarray, metric: str, s: int, seed: int, it: int):
+    """Candidates: s seeded members per cluster, drawn anew each iteration, plus the current medoid."""
     lab = v.select("id", "vec", labels_col.alias("cluster"))
     ranked = lab.withColumn("__o", F.xxhash64("id", F.lit(f"{seed}|{it}")))
     from pyspark.sql import Window
@@ -58,12 +59,12 @@ def _member_costs_sample(v: DataFrame, labels_col, medoids: np.ndarray, metric:
     w = Window.partitionBy("cluster").orderBy("__o", "id")
     cand = ranked.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= s).select(
         "cluster", F.col("id").alias("cid"), F.col("vec").alias("cvec")).collect()
-    cands: dict = {}
+    cands: dict = {c: {i: m} for c, (i, m) in enumerate(zip(ids, medoids))}
     for r in cand:
-        cands.setdefault(r["cluster"], []).append((r["cid"], r["cvec"]))
+        cands[r["cluster"]].setdefault(r["cid"], r["cvec"])
     parts = []
     for cl, lst in cands.items():
-        for cid, cvec in lst:
+        for cid, cvec in lst.items():
             parts.append(F.when(F.col("cluster") == cl, F.struct(
                 F.lit(cid).alias("cid"), distance(F.col("vec"), F.array(*[F.lit(float(x)) for x in cvec]), metric).alias("d"))))
     ex = lab.select("cluster", F.explode(F.filter(F.array(*parts), lambda z: z.isNotNull())).alias("z"))
@@ -72,18 +73,19 @@ def _member_costs_sample(v: DataFrame, labels_col, medoids: np.ndarray, metric:
 
 def kmedoids(df: DataFrame, id_col: str, features: Sequence[str] | None = None, k: int = 3,
              vec_col: str | None = None, metric: str = "euclidean", max_iter: int = 300, seed: int = 42,
-             init=None, mode: str = "auto", max_exact_rows: int = 200_000, sample_size: int = 64,
+             init=None, mode: str = "exact", sample_size: int = 64,
              block_rows: int = DEFAULT_BLOCK_ROWS) -> KMedoidsResult:
     """C4: assign to the nearest medoid; each medoid becomes the member with
     the least total distance to its cluster (first id on ties); stop when
     the medoids do not change; an empty cluster keeps its medoid. Inertia is
     the sum of plain distances. ``init``: explicit medoid ids, else
-    k-medoids++ (D^2 weighting under ``metric``)."""
+    k-medoids++ (D^2 weighting under ``metric``). In mode 'sample' a medoid is
+    only replaced by a strictly better candidate, so the cost never rises and
+    the iteration ends when no sample holds one."""
+    if mode not in ("exact", "sample"):
+        raise ValueError("mode must be 'exact' or 'sample'")
     v = vec_frame(df, id_col, features, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = v.count()
-        if mode == "auto":
-            mode = "exact" if n <= max_exact_rows else "sample"
         if init is None:
             start = kmeanspp_init(v, {0: (k, seed)}, metric)[0]
             ids = _ids_of(v, start)
@@ -96,8 +98,12 @@ def kmedoids(df: DataFrame, id_col: str, features: Sequence[str] | None = None,
             if mode == "exact":
                 costs = _member_costs_exact(v, lab, metric, block_rows)
             else:
-                costs = _member_costs_sample(v, lab, med, metric, sample_size, seed, it)
-            best = costs.groupBy("cluster").agg(F.min(F.struct("cost", "id")).alias("b")).collect()
+                costs = _member_costs_sample(v, lab, ids, med, metric, sample_size, seed, it)
+                now = F.element_at(F.array(*[F.lit(i) for i in ids]), F.col("cluster") + 1)
+                costs = costs.select("cluster", "id", "cost", (F.col("id") != now).cast("int").alias("other"))
+            # equal costs: the first id, in mode 'sample' the current medoid
+            order = ("cost", "id") if mode == "exact" else ("cost", "other", "id")
+            best = costs.groupBy("cluster").agg(F.min(F.struct(*order)).alias("b")).collect()
             new_ids = list(ids)
             for r in best:
                 new_ids[int(r["cluster"])] = r["b"]["id"]
@@ -110,7 +116,7 @@ def kmedoids(df: DataFrame, id_col: str, features: Sequence[str] | None = None,
         labels = v.select(F.col("id").alias(id_col), lab["idx"].cast("int").alias("cluster"))
         return KMedoidsResult(labels, ids, med, float(inertia), it)
     finally:
-        pass
+        v.unpersist()
 
 
 def _ids_of(v: DataFrame, vecs: np.ndarray) -> list:

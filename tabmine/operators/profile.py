@@ -148,6 +148,16 @@ ALGORITHM_RULES = {
 }
 
 
+def validate_table(df: DataFrame | None) -> tuple[bool, str]:
+    """A table is usable with at least one numeric column; nulls are
+    allowed. (ok, message) from the schema alone."""
+    if df is None:
+        return False, "no table given"
+    if not numeric_columns(df):
+        return False, "the table needs at least 1 numeric column"
+    return True, ""
+
+
 def validate_algorithm(df: DataFrame, features: Sequence[str], algo: str, target: str | None = None) -> DataFrame:
     """All checks of one algorithm from a single aggregate pass; output
     (check, severity, observed, limit, ok)."""

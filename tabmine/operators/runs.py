@@ -47,7 +47,7 @@ def run_record(spark: SparkSession, n: int, algo: str, params: Mapping, dataset:
         raise ValueError("too many clusters for a run record")
     m = metrics.first()
     vals = [None if m[c] is None else float(m[c]) for c in ("silhouette", "calinski_harabasz", "davies_bouldin", "inertia")]
-    ts = ts or _dt.datetime(2024, 1, 1, tzinfo=_dt.timezone.utc)
+    ts = ts or _dt.datetime.now(_dt.timezone.utc)
     row = (run_id(n, algo, params, auto), algo, {k: str(v) for k, v in params.items()}, dataset, list(features),
            *vals, sizes, sum(1 for c in sizes if c != "-1"), ts)
     return spark.createDataFrame([row], RUN_SCHEMA)

@@ -63,12 +63,11 @@ def multi_silhouette(v: DataFrame, labels: DataFrame, n_runs: int, block_rows: i
     return {r["run"]: (r["sil"] if r["k"] >= 2 else None) for r in got}
 
 
-def silhouette_curve(df: DataFrame, id_col: str, features: Sequence[str] | None = None, ks: Sequence[int] = range(2, 11),
-                     restarts: int = 5, vec_col: str | None = None, seed: int = 42) -> DataFrame:
-    """Q8: best silhouette over the restarts of each k (-1 if no run has two
-    labels). One batched K-Means sweep plus one multi-label block join."""
+def elbow_and_silhouette(df: DataFrame, id_col: str, features: Sequence[str] | None = None, ks: Sequence[int] = range(2, 11),
+                         restarts: int = 5, vec_col: str | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """Q7 and Q8 of one batched K-Means sweep, with one multi-label block join."""
     spark = df.sparkSession
-    _, _, fits, run_id = elbow(df, id_col, features, ks, restarts, vec_col, seed=seed)
+    table, _, fits, run_id = elbow(df, id_col, features, ks, restarts, vec_col, seed=seed)
     v = vec_frame(df, id_col, features, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
     keys = sorted(run_id, key=lambda key: run_id[key])
     labs = F.array(*[nearest_center(F.col("vec"), fits[run_id[key]][0])["idx"].cast("int") for key in keys])
@@ -80,7 +79,13 @@ def silhouette_curve(df: DataFrame, id_col: str, features: Sequence[str] | None
         vals = [s for s in vals if s is not None]
         rows.append((int(k), round(float(max(vals)), 6) if vals else -1.0))
     v.unpersist()
-    return spark.createDataFrame(rows, "k int, silhouette double")
+    return table.select("k", F.round("inertia", 4).alias("inertia")), spark.createDataFrame(rows, "k int, silhouette double")
+
+
+def silhouette_curve(df: DataFrame, id_col: str, features: Sequence[str] | None = None, ks: Sequence[int] = range(2, 11),
+                     restarts: int = 5, vec_col: str | None = None, seed: int = 42) -> DataFrame:
+    """Q8: best silhouette over the restarts of each k (-1 if no run has two labels)."""
+    return elbow_and_silhouette(df, id_col, features, ks, restarts, vec_col, seed)[1]
 
 
 def best_k(curve: DataFrame, metric: str = "silhouette") -> DataFrame:

@@ -73,19 +73,3 @@ CUSTOMER_2D_SQL = (
     "SELECT c_custkey, (c_acctbal + 1000.0::DOUBLE) / 11000.0::DOUBLE AS x, "
     "c_nationkey::DOUBLE / 24.0::DOUBLE AS y FROM customer"
 )
-
-
-def supplier_2d(spark: SparkSession, sf: str) -> DataFrame:
-    """supplier scaled to two features in [0, 1]: balance and nation."""
-    su = table(spark, sf, "supplier")
-    return su.select(
-        "s_suppkey",
-        ((F.col("s_acctbal") + F.lit(1000.0)) / F.lit(11000.0)).alias("x"),
-        (F.col("s_nationkey").cast("double") / F.lit(24.0)).alias("y"),
-    )
-
-
-SUPPLIER_2D_SQL = (
-    "SELECT s_suppkey, (s_acctbal + 1000.0::DOUBLE) / 11000.0::DOUBLE AS x, "
-    "s_nationkey::DOUBLE / 24.0::DOUBLE AS y FROM supplier"
-)

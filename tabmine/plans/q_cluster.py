@@ -460,14 +460,14 @@ def q14_curve(spark, sf):
 def q7_elbow(spark, sf):
     from ..operators.select import elbow_table
 
-    return elbow_table(customer_2d(spark, sf), "c_custkey", ["x", "y"], ks=range(2, 7), restarts=3)
+    return elbow_table(customer_2d(spark, sf), "c_custkey", ["x", "y"])
 
 
 @reg("q8_sil_curve")
 def q8_sil_curve(spark, sf):
     from ..operators.select import silhouette_curve
 
-    return silhouette_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"], ks=range(2, 7), restarts=3)
+    return silhouette_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"])
 
 
 
@@ -494,4 +494,4 @@ def c16_dispatch(spark, sf):
 def q11_best_k(spark, sf):
     from ..operators.select import best_k, silhouette_curve
 
-    return best_k(silhouette_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"], ks=range(2, 6), restarts=2))
+    return best_k(silhouette_curve(customer_2d(spark, sf), "c_custkey", ["x", "y"]))

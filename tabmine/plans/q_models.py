@@ -22,10 +22,9 @@ from ..operators import tree as T
 from ..operators.cluster_metrics import cluster_metrics
 from ..operators.kmeans import kmeans, random_init, vec_frame
 from ..operators.preprocess import Preprocessor
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import io as IO
-from .common import (CUSTOMER_2D_SQL, LI_FEATURES, LI_ID_SQL, Q_NULL_SQL, SUPPLIER_2D_SQL, customer_2d, lineitem,
-                     supplier_2d, table)
+from .common import CUSTOMER_2D_SQL, LI_FEATURES, LI_ID_SQL, Q_NULL_SQL, customer_2d, embeddings, lineitem, table
 from .q_classify import SPLIT_SQL, li_split
 from .q_cluster import emb_split
 
@@ -274,7 +273,7 @@ def v8_grid(spark, sf):
 # ---- hierarchies ------------------------------------------------------------------------
 
 def _agnes(spark, sf, linkage, k=4):
-    return H.agnes(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=k, linkage=linkage)
+    return H.agnes(embeddings(spark, sf), "vec_id", vec_col="vec", n_clusters=k, linkage=linkage)
 
 
 @reg("c8_agnes_ward")
@@ -304,37 +303,35 @@ def c10_linkage(spark, sf):
 
 @reg("c11_cut_k")
 def c11_cut_k(spark, sf):
-    labels, _, _ = H.agnes(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=6, linkage="complete")
-    return labels
+    return _agnes(spark, sf, "complete", 6)[0]
 
 
-_CUT_T = 0.02
-_SL_SQL = f"""WITH RECURSIVE p AS ({SUPPLIER_2D_SQL}),
-e AS (SELECT a.s_suppkey AS s, b.s_suppkey AS t FROM p a JOIN p b
-      ON sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {_CUT_T}::DOUBLE),
-reach(src, dst) AS (SELECT s_suppkey, s_suppkey FROM p UNION SELECT r.src, e.t FROM reach r JOIN e ON e.s = r.dst)
-SELECT src AS s_suppkey, min(dst) AS anchor FROM reach GROUP BY src"""
+_CUT_T = 1.1
+_SL_SQL = f"""WITH RECURSIVE p AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+e AS (SELECT a.vec_id AS s, b.vec_id AS t FROM p a JOIN p b ON list_distance(a.v, b.v) <= {_CUT_T}::DOUBLE),
+reach(src, dst) AS (SELECT vec_id, vec_id FROM p UNION SELECT r.src, e.t FROM reach r JOIN e ON e.s = r.dst)
+SELECT src AS vec_id, min(dst) AS anchor FROM reach GROUP BY src"""
 
 
 @reg("c12_cut_dist", _SL_SQL)
 def c12_cut_dist(spark, sf):
     """Single linkage cut at distance t = components of the t-graph; each
     row reports the smallest id of its cluster."""
-    su = supplier_2d(spark, sf)
-    units, _, _, _ = H._units(su, "s_suppkey", ["x", "y"], None, 2000, 42)
-    merges = H.rac(units, "single")
-    link = H.linkage_table(spark, merges, units)
-    lab = H.cut_labels(spark, link, units, t=_CUT_T)
-    return lab.groupBy("cluster").agg(F.min("uid").alias("anchor")).join(lab, "cluster").select(
-        F.col("uid").alias("s_suppkey"), "anchor")
+    units, row_map = H.units_of(embeddings(spark, sf), "vec_id", vec_col="vec")
+    units = cut_lineage(units)
+    link = H.linkage_table(spark, H.rac(units, "single"), units)
+    lab = row_map.join(H.cut_labels(spark, link, units, t=_CUT_T), "uid")
+    return lab.groupBy("cluster").agg(F.min("id").alias("anchor")).join(lab, "cluster").select(
+        F.col("id").alias("vec_id"), "anchor")
 
 
 @reg("q9_agnes_curve")
 def q9_agnes_curve(spark, sf):
     """Q9: one linkage table, cut at every k, silhouettes in one multi-label job."""
-    e = supplier_2d(spark, sf)
-    v = vec_frame(e, "s_suppkey", ["x", "y"])
-    units, row_map, _, _ = H._units(e, "s_suppkey", ["x", "y"], None, 2000, 42)
+    e = embeddings(spark, sf)
+    v = vec_frame(e, "vec_id", None, "vec")
+    units, row_map = H.units_of(e, "vec_id", vec_col="vec")
+    units = cut_lineage(units)
     link = H.linkage_table(spark, H.rac(units, "ward"), units)
     ks = list(range(2, 11))
     labs = None
@@ -348,19 +345,19 @@ def q9_agnes_curve(spark, sf):
 
 @reg("q13_cut")
 def q13_cut(spark, sf):
-    _, link, _ = _agnes(spark, sf, "ward")
+    _, link = _agnes(spark, sf, "ward")
     return S.dendrogram_cut_height(link, 4).select(F.round("cut_height", 6).alias("cut_height"))
 
 
 @reg("c13_diana3")
 def c13_diana3(spark, sf):
-    labels, _ = DI.diana(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=3)
+    labels, _ = DI.diana(embeddings(spark, sf), "vec_id", n_clusters=3, vec_col="vec")
     return labels
 
 
 @reg("c13_history")
 def c13_history(spark, sf):
-    _, hist = DI.diana(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], n_clusters=4)
+    _, hist = DI.diana(embeddings(spark, sf), "vec_id", n_clusters=4, vec_col="vec")
     return hist.select("split_cluster", "new_cluster", F.round("split_diameter", 6).alias("split_diameter"))
 
 
@@ -379,55 +376,47 @@ def c14_diameter(spark, sf):
 
 @reg("c15_splinter")
 def c15_splinter(spark, sf):
-    v = vec_frame(supplier_2d(spark, sf), "s_suppkey", ["x", "y"])
-    return DI.splinter_split(v).select(F.col("id").alias("s_suppkey"), "side")
+    v = vec_frame(embeddings(spark, sf), "vec_id", None, "vec")
+    return DI.splinter_split(v).select(F.col("id").alias("vec_id"), "side")
 
 
 @reg("q10_diana_curve")
 def q10_diana_curve(spark, sf):
-    return DI.diana_curve(supplier_2d(spark, sf), "s_suppkey", ["x", "y"], ks=range(2, 6))
+    return DI.diana_curve(embeddings(spark, sf), "vec_id", ks=range(2, 11), vec_col="vec")
 
 
 @reg("q12_report")
 def q12_report(spark, sf):
     """Q12: K-Means inertia and silhouette per k beside the DBSCAN 90 % eps."""
     cu = customer_2d(spark, sf)
-    el = S.elbow_table(cu, "c_custkey", ["x", "y"], ks=range(2, 6), restarts=2)
-    sc = S.silhouette_curve(cu, "c_custkey", ["x", "y"], ks=range(2, 6), restarts=2)
+    el, sc = S.elbow_and_silhouette(cu, "c_custkey", ["x", "y"])
     eps = S.best_dbscan_params(cu, "c_custkey", ["x", "y"]).first()["eps"]
     return el.join(sc, "k").withColumn("dbscan_eps", F.lit(eps))
 
 
 # ---- run registry ----------------------------------------------------------------------
 
-_REGISTRY: dict = {}
-
-
 def _runs(spark, sf):
-    """Three real clustering runs on the supplier table, appended to a
-    registry table once per session and table folder, then read back."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key in _REGISTRY:
-        return R.read_runs(spark, _REGISTRY[key])
-    su = supplier_2d(spark, sf)
-    v = vec_frame(su, "s_suppkey", ["x", "y"])
+    """Three real clustering runs on the customer table, appended to a new
+    registry table and read back."""
+    cu = customer_2d(spark, sf)
+    v = vec_frame(cu, "c_custkey", ["x", "y"])
     rows = []
     for n, k in ((1, 3), (2, 4)):
-        res = kmeans(su, "s_suppkey", ["x", "y"], k=k, init=random_init(v, k, 42), max_iter=20)
-        lab = su.join(res.labels, "s_suppkey").select("s_suppkey", F.array("x", "y").alias("vec"), "cluster")
-        met = cluster_metrics(lab, "s_suppkey", "vec", "cluster")
-        rows.append(R.run_record(spark, n, "KMeans", {"n_clusters": k, "init": "random"}, "supplier", ["x", "y"],
+        res = kmeans(cu, "c_custkey", ["x", "y"], k=k, init=random_init(v, k, 42), max_iter=20)
+        lab = cu.join(res.labels, "c_custkey").select("c_custkey", F.array("x", "y").alias("vec"), "cluster")
+        met = cluster_metrics(lab, "c_custkey", "vec", "cluster")
+        rows.append(R.run_record(spark, n, "KMeans", {"n_clusters": k, "init": "random"}, "customer", ["x", "y"],
                                  lab, met))
     from ..operators.dbscan import dbscan
 
-    lab = dbscan(su, "s_suppkey", ["x", "y"], eps=0.05, min_samples=3).join(su, "s_suppkey").select(
-        "s_suppkey", F.array("x", "y").alias("vec"), "cluster")
-    met = cluster_metrics(lab, "s_suppkey", "vec", "cluster")
-    rows.append(R.run_record(spark, 3, "DBSCAN", {"eps": 0.05, "min_samples": 3}, "supplier", ["x", "y"], lab, met))
+    lab = dbscan(cu, "c_custkey", ["x", "y"], eps=0.05, min_samples=3).join(cu, "c_custkey").select(
+        "c_custkey", F.array("x", "y").alias("vec"), "cluster")
+    met = cluster_metrics(lab, "c_custkey", "vec", "cluster")
+    rows.append(R.run_record(spark, 3, "DBSCAN", {"eps": 0.05, "min_samples": 3}, "customer", ["x", "y"], lab, met))
     path = _scratch(spark, "runs")
     for r in rows:
         R.append_runs(r, path)
-    _REGISTRY[key] = path
     return R.read_runs(spark, path)
 
 
@@ -453,7 +442,7 @@ def r4_compare(spark, sf):
 
 @reg("r5_compatible")
 def r5_compatible(spark, sf):
-    return R.compatible_runs(_runs(spark, sf), supplier_2d(spark, sf).columns)
+    return R.compatible_runs(_runs(spark, sf), customer_2d(spark, sf).columns)
 
 
 @reg("r6_latest")
@@ -465,10 +454,9 @@ def r6_latest(spark, sf):
 def x2_compare(spark, sf):
     sp = li_split(spark, sf)
     table_, errors = X.compare_classifiers(sp.where(~F.col("is_test")), sp.where(F.col("is_test")), "id",
-                                           LI_FEATURES, "l_returnflag",
-                                           [("Naive Bayes", {"type": "gaussian"}), ("C4.5", {"max_depth": 4}),
-                                            ("k-NN", {"k": 5})])
-    return table_
+                                           LI_FEATURES, "l_returnflag")
+    failed = spark.createDataFrame(errors, "algo string, error string")
+    return table_.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
 
 
 # ---- preprocessing chain and remaining source / profiling ops -------------------------------
@@ -515,16 +503,24 @@ def p2_schema(spark, sf):
     return P.schema_profile(table(spark, sf, "lineitem"))
 
 
-@reg("s6_catalog")
+@reg("s6_catalog", """SELECT 'lineitem' AS name, 'l_returnflag' AS target, count(*) AS n_rows, (SELECT count(*) FROM (DESCRIBE lineitem))::BIGINT - 1 AS n_features,
+  count(DISTINCT l_returnflag) AS n_classes, false AS has_missing, 'clustering,classification' AS recommended_for FROM lineitem
+UNION ALL SELECT 'embeddings', 'label', count(*), (SELECT count(*) FROM (DESCRIBE embeddings))::BIGINT - 1, count(DISTINCT label), false, 'clustering,classification' FROM embeddings
+UNION ALL SELECT 'labels', 'quality', count(*), (SELECT count(*) FROM (DESCRIBE labels))::BIGINT - 1, count(DISTINCT quality), false, 'clustering,classification' FROM labels""")
 def s6_catalog(spark, sf):
     cat = IO.dataset_catalog(spark, [(t, f"{sf}/{t}.parquet", tgt, True) for t, tgt in
                                      (("lineitem", "l_returnflag"), ("embeddings", "label"), ("labels", "quality"))])
-    return IO.load_dataset(spark, cat, "labels")
+    return cat.select("name", "target", "n_rows", "n_features", "n_classes", "has_missing", F.array_join("recommended_for", ",").alias("recommended_for"))
 
 
-@reg("s7_upload", "SELECT * FROM part")
+@reg("s7_upload", "SELECT c_custkey::DOUBLE AS c_custkey, c_name, c_acctbal, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment FROM customer")
 def s7_upload(spark, sf):
-    return IO.read_upload(spark, f"{sf}/part.parquet")
+    """The customer table as an uploaded CSV with blank cells, read with the token and blank rules."""
+    cu = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_acctbal", F.when(F.col("c_custkey") % 9 == 0, F.lit("  ")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    path = _scratch(spark, "upload") + ".csv"
+    cu.write.csv(path, header=True)
+    return IO.read_upload(spark, path).select(F.col("c_custkey").cast("double").alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment")
 
 
 @reg("s8_version", """WITH s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS sd FROM customer)

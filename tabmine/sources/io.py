@@ -135,22 +135,50 @@ CATALOG_SCHEMA = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("target", T.StringType()),
         T.StructField("header", T.BooleanType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("n_features", T.LongType()),
+        T.StructField("n_classes", T.LongType()),
+        T.StructField("has_missing", T.BooleanType()),
+        T.StructField("recommended_for", T.ArrayType(T.StringType())),
     ]
 )
+#: Distinct target values up to which a numeric target counts as classes.
+MAX_TARGET_CLASSES = 50
 
 
-def dataset_catalog(spark: SparkSession, entries: Sequence[tuple[str, str, str, bool]]) -> DataFrame:
-    return spark.createDataFrame(list(entries), CATALOG_SCHEMA)
+def _describe(df: DataFrame, target: str | None) -> tuple[int, int, int | None, bool, list[str]]:
+    """Rows, features, classes of the target, whether a cell is null, and what the table is good for:
+    classification with a class target, clustering with a numeric feature and no nulls."""
+    features = [f.name for f in df.schema.fields if f.name != target]
+    aggs = [F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(f"`{x}`").isNull()).alias(f"m{i}") for i, x in enumerate(df.columns)]]
+    if target is not None:
+        aggs.append(F.count_distinct(F.col(f"`{target}`")).alias("k"))
+    row = df.agg(*aggs).first()
+    classes = None if target is None else int(row["k"])
+    missing = any(row[f"m{i}"] for i in range(len(df.columns)))
+    numeric = [f.name for f in df.schema.fields if f.name in features and isinstance(f.dataType, T.NumericType)]
+    good = ["clustering"] if numeric and not missing else []
+    if classes is not None and (classes <= MAX_TARGET_CLASSES or not isinstance(df.schema[target].dataType, T.NumericType)):
+        good.append("classification")
+    return int(row["n"]), len(features), classes, missing, good
+
+
+def dataset_catalog(spark: SparkSession, entries: Sequence[tuple[str, str, str | None, bool]]) -> DataFrame:
+    """One row per (name, path, target, header), with rows, features, classes, missing flag and
+    recommended uses counted from the table."""
+    rows = [(*e, *_describe(_load(spark, e[1], e[3]), e[2])) for e in entries]
+    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+
+
+def _load(spark: SparkSession, path: str, header: bool) -> DataFrame:
+    return spark.read.parquet(path) if path.endswith(".parquet") else read_table_csv(spark, path, header=header)
 
 
 def load_dataset(spark: SparkSession, catalog: DataFrame, name: str) -> DataFrame:
     rows = catalog.where(F.col("name") == name).limit(1).collect()
     if not rows:
         raise ValueError(f"unknown dataset {name!r}")
-    r = rows[0]
-    if r["path"].endswith(".parquet"):
-        return spark.read.parquet(r["path"])
-    return read_table_csv(spark, r["path"], header=r["header"])
+    return _load(spark, rows[0]["path"], rows[0]["header"])
 
 
 # ---- S8: preprocessed versions ---------------------------------------------
