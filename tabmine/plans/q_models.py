@@ -450,15 +450,28 @@ def r6_latest(spark, sf):
     return R.latest(_runs(spark, sf))
 
 
-@reg("x2_compare")
-def x2_compare(spark, sf):
-    sp = li_split(spark, sf)
-    table_, errors = X.compare_classifiers(sp.where(~F.col("is_test")), sp.where(F.col("is_test")), "id",
-                                           LI_FEATURES, "l_returnflag")
+def _compared(spark, sp, id_col, features, target, algos=None):
+    table_, errors = X.compare_classifiers(sp.where(~F.col("is_test")), sp.where(F.col("is_test")), id_col, features, target, algos)
     failed = spark.createDataFrame(errors, "algo string, error string")
     return table_.withColumn("error", F.lit(None).cast("string")).unionByName(failed, allowMissingColumns=True)
 
 
+@reg("x2_compare")
+def x2_compare(spark, sf):
+    """The four default classifiers, tree without a depth limit and RBF SVM, on labels x documents."""
+    from ..operators.split import stratified_split
+
+    sp = stratified_split(_doc_quality(spark, sf), "doc_id", "quality", 0.3, 42)
+    return _compared(spark, sp, "doc_id", ["n_chars", "toxic"], "quality")
+
+
+@reg("x2_compare_li")
+def x2_compare_li(spark, sf):
+    """Three classifiers on lineitem, the tree to depth 4."""
+    return _compared(spark, li_split(spark, sf), "id", LI_FEATURES, "l_returnflag",
+                     [("Naive Bayes", {"type": "gaussian"}), ("C4.5", {"max_depth": 4}), ("k-NN", {"k": 5})])
+
+
 # ---- preprocessing chain and remaining source / profiling ops -------------------------------
 
 _LI = f"(SELECT *, {LI_ID_SQL} AS id, {Q_NULL_SQL} AS q_null FROM lineitem)"
