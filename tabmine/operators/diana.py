@@ -58,6 +58,8 @@ def splinter_split(v: DataFrame, metric: str = "euclidean", compat: bool = False
     n = v.count()
     if n < 2:
         return v.select("id", F.lit(0).alias("side"))
+    if n <= block_rows:  # one block: the same rounds on its distance matrix, without a job per round
+        return _splinter_block(v, metric, compat)
     tot = _sum_to(v, v, metric, block_rows)
     first = tot.select("id", (F.col("s") / F.lit(n - 1)).alias("avg")).orderBy(F.desc("avg"), "id").first()
     s_id = first["id"]
@@ -93,6 +95,34 @@ def splinter_split(v: DataFrame, metric: str = "euclidean", compat: bool = False
     return st.select("id", F.when(F.col("inA"), 0).otherwise(1).alias("side"))
 
 
+def _splinter_block(v: DataFrame, metric: str, compat: bool) -> DataFrame:
+    """splinter_split() of at most one block of rows, as one task."""
+    id_type = dict(v.dtypes)["id"]
+
+    def split(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id", kind="stable")
+        x = _stack(pdf["vec"])
+        d = np_distance_matrix(x, x, metric)
+        np.fill_diagonal(d, 0.0)
+        n = len(x)
+        in_a = np.ones(n, bool)
+        in_a[int(np.argmax(d.sum(1) / (n - 1)))] = False
+        while True:
+            n_a, n_b = int(in_a.sum()), int((~in_a).sum())
+            avg_a = d[:, in_a].sum(1) / (n_a - 1) if n_a > 1 else np.full(n, np.inf)
+            gap = avg_a - d[:, ~in_a].sum(1) / n_b
+            move = in_a & (gap > 0)
+            if not compat and move.sum() >= n_a:
+                cand = np.flatnonzero(move)
+                move[cand[np.lexsort([cand, gap[cand]])[0]]] = False  # the least eager row stays in A
+            if not move.any():
+                break
+            in_a &= ~move
+        return pd.DataFrame({"id": pdf["id"].to_numpy(), "side": (~in_a).astype(np.int32)})
+
+    return v.groupBy(F.lit(0).alias("block")).applyInPandas(split, f"id {id_type}, side int")
+
+
 def diana(df: DataFrame, id_col: str, features: Sequence[str] | None = None, n_clusters: int = 2,
           metric: str = "euclidean", vec_col: str | None = None, compat: bool = False,
           block_rows: int = DEFAULT_BLOCK_ROWS):

@@ -125,3 +125,16 @@ def test_runs_carry_the_time(spark):
     metrics = spark.createDataFrame([(0.5, 1.0, 1.0, 1.0)], "silhouette double, calinski_harabasz double, davies_bouldin double, inertia double")
     a, b = (runs.run_record(spark, n, "KMeans", {}, "t", ["x"], labels, metrics) for n in (2, 1))
     assert runs.latest(a.unionByName(b)).first()["latest_run"].startswith("Run1_")
+
+
+@pytest.mark.parametrize("compat", [False, True])
+def test_splinter_in_one_block_equals_the_block_join(spark, compat):
+    from tabmine.operators import diana
+
+    rng = np.random.default_rng(4)
+    for scale in (1.0, 6.0):
+        x = np.concatenate([rng.normal(0, 1, (25, 3)), rng.normal(scale, 1, (12, 3))])
+        v = spark.createDataFrame([(f"k{i:02d}", r.tolist()) for i, r in enumerate(x)], "id string, vec array<double>")
+        one = {r["id"]: r["side"] for r in diana.splinter_split(v, compat=compat).collect()}
+        many = {r["id"]: r["side"] for r in diana.splinter_split(v, compat=compat, block_rows=10).collect()}
+        assert one == many and 0 < sum(one.values())
