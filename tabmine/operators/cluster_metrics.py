@@ -7,6 +7,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -148,21 +149,25 @@ def _silhouette_squared(df: DataFrame, vec: str, cluster: str) -> DataFrame:
     ).collect()
     if len(g) > MAX_CENTROIDS:
         raise ValueError("too many clusters")
-    labs = [r["c"] for r in g]
-    x2 = F.aggregate(F.col(vec), F.lit(0.0), lambda s, v: s + v * v)
-    per = []
-    for r in g:
-        dot = sum((F.col(vec)[i] * F.lit(float(r[f"m{i}"])) for i in range(1, d)), F.col(vec)[0] * F.lit(float(r["m0"])))
-        per.append(x2 - 2 * dot + F.lit(float(r["q"])))
-    arr = F.array(*per)
-    ns = F.array(*[F.lit(float(r["n"])) for r in g])
-    lab_arr = F.array(*[F.lit(v) for v in labs])
-    idx = F.array_position(lab_arr, F.col(cluster)).cast("int")
-    n_own = F.element_at(ns, idx)
-    a = F.element_at(arr, idx) * n_own / (n_own - 1)
-    b = F.array_min(F.filter(F.transform(arr, lambda v, i: F.when(i + 1 != idx, v)), lambda v: v.isNotNull()))
-    s = F.when(n_own <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
-    return df.agg(F.avg(s).alias("silhouette")).withColumn("mode", F.lit("squared"))
+    place = {r["c"]: i for i, r in enumerate(g)}
+    mean = np.array([[r[f"m{i}"] for i in range(d)] for r in g], np.float64)
+    q, n = np.array([r["q"] for r in g], np.float64), np.array([r["n"] for r in g], np.float64)
+
+    @F.pandas_udf("double")
+    def rows(v: pd.Series, c: pd.Series) -> pd.Series:
+        if not len(v):
+            return pd.Series([], dtype=float)
+        x = np.array(v.tolist(), np.float64)
+        own = c.map(place).to_numpy()
+        at = np.arange(len(x))
+        m = (x * x).sum(1)[:, None] - 2 * x @ mean.T + q  # mean squared distance to every cluster
+        a = m[at, own] * n[own] / np.maximum(n[own] - 1, 1)
+        m[at, own] = np.inf
+        b = m.min(1)
+        return pd.Series(np.where(n[own] <= 1, 0.0, (b - a) / np.maximum(a, b)))
+
+    return df.select(
+        rows(F.col(vec), F.col(cluster)).alias("s")).agg(F.avg("s").alias("silhouette")).withColumn("mode", F.lit("squared"))
 
 
 def cluster_metrics(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str = "cluster",

@@ -153,6 +153,17 @@ def _scalar_cols(v: DataFrame, d: int) -> DataFrame:
     return v.select(*[F.col("vec")[i].alias(f"x{i}") for i in range(d)])
 
 
+def _nearest(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """Index of the nearest centre of every row (ties to the lowest), one coordinate at a time:
+    memory is rows x centres, never rows x centres x coordinates."""
+    d2 = np.zeros((len(X), len(C)))
+    for j in range(X.shape[1]):
+        t = X[:, j, None] - C[None, :, j]
+        t *= t
+        d2 += t
+    return d2.argmin(axis=1)
+
+
 def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
     """One job: every partition assigns its rows to the nearest centre of
     every run with NumPy (ties -> lowest index) and emits per (run, cluster)
@@ -169,8 +180,7 @@ def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
                 continue
             X = pdf.to_numpy(dtype=np.float64)
             for r, C in zip(runs, cen):
-                diff = X[:, None, :] - C[None, :, :]
-                lab = np.argmin((diff * diff).sum(2), axis=1)
+                lab = _nearest(X, C)
                 cnt = np.bincount(lab, minlength=len(C)).astype(np.int64)
                 sums = np.stack([np.bincount(lab, weights=X[:, j], minlength=len(C)) for j in range(d)], axis=1)
                 if r in acc:
@@ -187,11 +197,13 @@ def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
             yield pd.DataFrame(rows, columns=["run", "c", "n", "s"])
 
     parts = _scalar_cols(v, d).mapInPandas(part, "run int, c int, n bigint, s array<double>")
-    got = parts.groupBy("run", "c").agg(
-        F.sum("n").alias("n"),
-        F.aggregate(F.collect_list("s"), F.array_repeat(F.lit(0.0), d),
-                    lambda acc, x: F.zip_with(acc, x, lambda a, b: a + b)).alias("s")).collect()
-    return [{"run": r["run"], "c": r["c"], "n": r["n"], **{f"s{i}": r["s"][i] for i in range(d)}} for r in got]
+    got = parts.select("run", "c", "n", F.posexplode("s").alias("i", "x")).groupBy("run", "c", "i").agg(
+        F.sum("n").alias("n"), F.sum("x").alias("x")).collect()
+    out: dict = {}
+    for r in got:
+        row = out.setdefault((r["run"], r["c"]), {"run": r["run"], "c": r["c"], "n": r["n"]})
+        row[f"s{r['i']}"] = r["x"]
+    return list(out.values())
 
 
 def inertia_of(v: DataFrame, fits: dict) -> dict:
@@ -209,8 +221,7 @@ def inertia_of(v: DataFrame, fits: dict) -> dict:
             X = pdf.to_numpy(dtype=np.float64)
             for r in runs:
                 a, rep, _ = fits[r]
-                diff = X[:, None, :] - np.asarray(a)[None, :, :]
-                lab = np.argmin((diff * diff).sum(2), axis=1)
+                lab = _nearest(X, np.asarray(a))
                 e = X - np.asarray(rep)[lab]
                 tot[r] += float((e * e).sum())
         yield pd.DataFrame({"run": runs, "i": [tot[r] for r in runs]})
