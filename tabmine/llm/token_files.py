@@ -15,8 +15,10 @@ checksum. Any zstd tool still decompresses the whole file.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -26,14 +28,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch_dir, utf8
+from .common import scratch_dir, tidy, utf8
 
 INDEX_MAGIC, SEEK_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 INDEX_DTYPE = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("n", "<u4"), ("frame", "<u4"), ("at", "<u4")])
 #: Raw bytes after which a frame is closed; a longer document is a frame of its own.
 FRAME_BYTES = 1 << 18
-#: Text bytes per shard file aimed at.
-SHARD_BYTES = 16 << 20
 
 
 class ShardWriter:
@@ -50,11 +50,11 @@ class ShardWriter:
         self.index: list[tuple[int, int, int, int, int]] = []
         self.buf, self.size = [], 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        raw = ids.astype(self.dtype).tobytes()
+    def add(self, doc_id: int | None, raw: bytes) -> None:
+        """One document: its ids as little-endian bytes of the file's width."""
         if self.size and self.size + len(raw) > FRAME_BYTES:
             self._close_frame()
-        self.index.append((doc_id or 0, doc_id is None, len(ids), len(self.entries), self.size))
+        self.index.append((doc_id or 0, doc_id is None, len(raw) // self.dtype.itemsize, len(self.entries), self.size))
         self.buf.append(raw)
         self.size += len(raw)
 
@@ -119,68 +119,103 @@ class ShardReader:
 
 
 class Encoder:
-    """Byte-level BPE ids of whole texts with the tokenizers library. A space between two characters that
-    are no white space always starts a new pre-token, so texts are cut there and equal pieces are
-    encoded once; `CACHE` bounds the pieces remembered."""
+    """Byte-level BPE ids of whole texts with the tokenizers library, as little-endian bytes of `width` per id.
 
-    CACHE = 300_000
+    A space between two characters that are no white space always starts a new pre-token, and so does the punctuation
+    after the letters of a word's end. Texts are cut at those spaces and equal pieces are encoded once, without such a
+    tail; `CACHE` bounds the pieces remembered."""
+
+    CACHE = 500_000
+    #: White space of any regular-expression dialect besides space and line feed: such texts are cut with more care.
+    OTHER = [chr(c) for c in (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF)]
+    TAILS = string.punctuation
+    JOINED = 256
 
     def __init__(self, path: str):
+        import os
         import re
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.width = 2 if self.tok.get_vocab_size() <= 1 << 16 else 4
-        space = r"[\s\u180e\u200b\ufeff]"
-        self.unsafe = re.compile(f"(?:^|{space}) | (?:{space}|$)")
-        self.reset()
-
-    def reset(self) -> None:
-        self.where: dict[str, int] = {}
-        self.store = [np.zeros(0, np.uint32)]
-        self.lens = np.zeros(0, np.int64)
+        self.dtype, self.code = np.dtype(f"<u{self.width}"), "H" if self.width == 2 else "I"
+        no_space = "[^" + "".join(map(re.escape, self.OTHER)) + r"\s]"
+        self.cut = re.compile(f" (?={no_space})(?<={no_space} )").split
+        self.black = re.compile(f"{no_space}*").fullmatch
+        self.feed = self.tok.token_to_id("\u010a")  # the line feed in the byte alphabet
+        self.after: dict[str, bytes] = {}  # ids of a piece after a space, by the piece without that space
+        self.plain: dict[str, bytes] = {}  # ids of a piece at a text's start, and of tails
 
     def pieces(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self.unsafe.search(text):
-            parts, out = text.split(" "), []
-            for p in parts:
-                if out and (not p or not out[-1].strip() or p[0].isspace() or out[-1][-1].isspace() or self.unsafe.search(f"{out[-1][-1]} {p[0]}")):
-                    out[-1] += " " + p
-                else:
-                    out.append((" " if out else "") + p)
-            return out
-        parts = text.split(" ")
-        return parts[:1] + [" " + p for p in parts[1:]]
-
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with the end id; number of ids of each text)."""
-        if len(self.where) > self.CACHE:
-            self.reset()
-        per = [self.pieces(t) for t in texts]
-        where = self.where
-        new = list(dict.fromkeys(p for ps in per for p in ps if p not in where))
+        if "  " in text or " \n" in text or "\n " in text or text[:1] == " " or text[-1:] == " " or any(c in text for c in self.OTHER):
+            return self.cut(text)
+        return text.split(" ")
+
+    def _ids(self, pieces: list[str], lead: str) -> list[bytes]:
+        """Ids of each piece after `lead`. Pieces without white space go JOINED to a text, with line feeds between: one
+        between other characters is a token of its own, by which the ids are cut again."""
+        out: dict[str, bytes] = {}
+        odd = [p for p in pieces if not p or not self.black(p)]
+        out.update((p, array(self.code, e.ids).tobytes()) for p, e in zip(odd, self.tok.encode_batch_fast([lead + p for p in odd], add_special_tokens=False)))
+        even = [p for p in pieces if p not in out]
+        groups = [even[i : i + self.JOINED] for i in range(0, len(even), self.JOINED)]
+        texts = ["\n" + lead + ("\n" + lead).join(g) for g in groups]
+        if even:
+            ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)])
+            at = (np.flatnonzero(ids == self.feed) * self.width).tolist()
+            raw, w = ids.tobytes(), self.width
+            out.update((p, raw[a + w : z]) for p, a, z in zip(even, at, [*at[1:], len(raw)]))
+        return [out[p] for p in pieces]
+
+    def _look(self, known: dict[str, bytes], pieces: set[str], lead: str) -> dict[str, bytes]:
+        """Ids of the pieces of a batch, as a small dictionary; new ones are remembered in `known`."""
+        here = dict(zip(pieces, map(known.get, pieces)))
+        new = {p for p, ids in here.items() if ids is None}
         if new:
-            got = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-            base = len(where)
-            where.update((p, base + i) for i, p in enumerate(new))
-            self.lens = np.concatenate([self.lens, np.fromiter(map(len, got), np.int64, len(got))])
-            self.store = [np.concatenate([*self.store, np.fromiter((x for g in got for x in g), np.uint32)])]
-        flat = np.fromiter((where[p] for ps in per for p in ps), np.int64)
-        counts = np.fromiter(map(len, per), np.int64, len(per))
-        begins = np.concatenate([[0], np.cumsum(self.lens)])
-        n = self.lens[flat]
-        ends = np.cumsum(n)
-        doc_of = np.repeat(np.arange(len(per)), counts)
-        n_doc = np.bincount(doc_of, n, len(per)).astype(np.int64)
-        total = int(n.sum())
-        src = np.repeat(begins[flat] - (ends - n), n) + np.arange(total)
-        out = np.full(total + len(per), end_id, np.uint32)
-        out[np.arange(total) + np.repeat(doc_of, n)] = self.store[0][src]
-        return out, n_doc + 1
+            self._learn(known, new, lead)
+            here.update((p, known[p]) for p in new)
+        return here
+
+    def _learn(self, known: dict[str, bytes], new: set[str], lead: str) -> None:
+        """Adds the ids of new pieces to `known`. They are taken apart first: a single line feed between two
+        characters that are no white space is a pre-token of its own, and so is a tail."""
+        lines = {p: q for p in new if "\n" in p and (q := p.split("\n")) and all(x and self.black(x) for x in q)}
+        inner = {x for q in lines.values() for x in q[1:]}
+        self._tails(self.plain, inner.difference(self.plain), "")
+        self._tails(known, {q[0] for q in lines.values()}.union(new.difference(lines)).difference(known), lead)
+        if lines:
+            if "\n" not in self.plain:
+                self.plain["\n"] = self._ids(["\n"], "")[0]
+            known.update((p, self.plain["\n"].join([known[q[0]], *(self.plain[x] for x in q[1:])])) for p, q in lines.items())
+
+    def _tails(self, known: dict[str, bytes], new: set[str], lead: str) -> None:
+        stems = {}
+        for p in new:
+            stem = p.rstrip(self.TAILS)
+            stems[p] = stem if stem and stem[-1].isalpha() else p
+        todo = list(set(stems.values()).difference(known))
+        known.update(zip(todo, self._ids(todo, lead)))
+        tails = list({p[len(s) :] for p, s in stems.items() if len(s) < len(p)}.difference(self.plain))
+        self.plain.update(zip(tails, self._ids(tails, "")))
+        known.update((p, known[s] + self.plain[p[len(s) :]]) for p, s in stems.items() if len(s) < len(p))
+
+    def encode(self, texts: list[str], end_id: int) -> list[bytes]:
+        """The ids of each text, with the end id."""
+        if len(self.after) + len(self.plain) > self.CACHE:
+            self.after.clear()
+            self.plain.clear()
+        per = [self.pieces(t) for t in texts]
+        heads = [ps[0] for ps in per]
+        first = self._look(self.plain, set(heads), "")
+        rest = set()
+        for ps in per:
+            del ps[0]
+            rest.update(ps)
+        end, get = np.array([end_id], self.dtype).tobytes(), self._look(self.after, rest, " ").__getitem__
+        return [first[h] + b"".join(map(get, ps)) + end for h, ps in zip(heads, per)]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -192,17 +227,17 @@ def _encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def write_token_files(docs: DataFrame, uri: str, vocabulary: str, end_id: int = 2, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+def write_token_files(docs: DataFrame, uri: str, vocabulary: str, end_id: int = 2, shards: int | None = None) -> DataFrame:
     """Write `docs` (doc_id, text) as shard files below `uri`, in ascending doc_id order over the shard names.
 
     Documents are range-partitioned by (doc_id, text hash), so a doc_id held by many rows still spreads; each partition
-    streams its rows into one file. Returns one row per shard: shard (its name), n_docs, n_tokens; the frame is stored
+    streams its rows into one file. There are as many shards as input partitions (splits of bounded size) unless
+    `shards` says otherwise. Returns one row per shard: shard (its name), n_docs, n_tokens; the frame is stored
     already. Null text: only the end id. Null doc_id: first, flagged in the index. Repeated rows are all written.
     An empty table writes no file. A retried task writes the same name again by an atomic move."""
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n_bytes = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, -(-int(n_bytes) // shard_bytes))
+    parts = shards or max(1, src.rdd.getNumPartitions())
     src = src.withColumn("h", F.xxhash64("text")).repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text")
 
     def write(batches):
@@ -215,23 +250,21 @@ def write_token_files(docs: DataFrame, uri: str, vocabulary: str, end_id: int =
             texts = b.column(1)
             i = 0
             while i < len(ids):
-                j = max(i + 1, int(np.searchsorted(off, off[i] + (1 << 20), "right")) - 1)
-                got, n = enc.encode([t or "" for t in texts.slice(i, j - i).to_pylist()], end_id)
+                j = max(i + 1, int(np.searchsorted(off, off[i] + (1 << 17), "right")) - 1)
+                got = enc.encode([t or "" for t in texts.slice(i, j - i).to_pylist()], end_id)
                 if out is None:
                     name = f"part-{TaskContext.get().partitionId():08d}.tok.zst"
                     out = ShardWriter(uri, name, enc.width)
-                at = 0
-                for d, k in zip(ids[i:j], n.tolist()):
-                    out.add(d, got[at : at + k])
-                    at += k
+                for d, raw in zip(ids[i:j], got):
+                    out.add(d, raw)
+                    tokens += len(raw) // enc.width
                 docs_n += j - i
-                tokens += at
                 i = j
         if out is not None:
             out.close()
             yield pa.RecordBatch.from_pydict({"shard": [name], "n_docs": [docs_n], "n_tokens": [tokens]})
 
-    done = src.select("doc_id", "text").mapInArrow(write, "shard string, n_docs long, n_tokens long")
+    done = src.select("doc_id", "text").mapInArrow(tidy(write), "shard string, n_docs long, n_tokens long")
     path = f"{uri.rstrip('/')}-manifest"
     done.write.parquet(path)
     return spark.read.schema("shard string, n_docs long, n_tokens long").parquet(path)
@@ -258,7 +291,7 @@ def read_token_files(manifest: DataFrame, uri: str) -> DataFrame:
                     ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return work.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return work.mapInArrow(tidy(read), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_documents(uri: str, shard: str, doc_ids: set[int]) -> dict[int, np.ndarray]:
