@@ -12,28 +12,35 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 #: Text bytes of a chunk aimed at.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 6 << 20
 BUCKET_KEYS = 2_000_000
 ASK = "chunk long, bucket long, keys binary, v0 binary, v1 binary"
 ANSWER = "chunk long, bucket long, round int, found binary"
 
 
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1, write_content_size=True), zstandard.ZstdDecompressor()
+
+
 def pack(x: np.ndarray) -> bytes:
-    """Byte planes of 64-bit numbers."""
-    return np.ascontiguousarray(x).view(np.uint8).reshape(len(x), 8).T.tobytes()
+    """Compressed byte planes of 64-bit numbers: the upper planes of small numbers and differences are mostly zero."""
+    return _ZIP.compress(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), 8).T).data)
 
 
 def unpack(b: bytes, dtype=np.int64) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).reshape(-1).view(dtype)
+    planes = np.frombuffer(_UNZIP.decompress(b), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).reshape(-1).view(dtype)
 
 
-def deal(docs: DataFrame, n_bytes: int) -> DataFrame:
+def deal(docs: DataFrame, n_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """`docs` with a column `chunk`, by a hash of doc_id and text."""
-    n = max(1, -(-n_bytes // CHUNK_BYTES))
+    n = max(1, -(-n_bytes // chunk_bytes))
     return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)))
 
 
@@ -41,14 +48,14 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
 
 
-def edges(n_buckets: int) -> np.ndarray:
+def edges(n_buckets: int, bits: int) -> np.ndarray:
     """First key of every bucket but the first."""
-    return np.array([b * (1 << 64) // n_buckets for b in range(1, n_buckets)], np.uint64)
+    return np.array([b * (1 << bits) // n_buckets for b in range(1, n_buckets)], np.uint64)
 
 
-def ask_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], n_buckets: int) -> pa.Table:
-    """Rows that ask for sorted distinct `keys`."""
-    cut = np.concatenate([[0], np.searchsorted(keys, edges(n_buckets)), [len(keys)]])
+def ask_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], n_buckets: int, bits: int = 64) -> pa.Table:
+    """Rows that ask for sorted distinct `keys` below 2^bits."""
+    cut = np.concatenate([[0], np.searchsorted(keys, edges(n_buckets, bits)), [len(keys)]])
     rows: dict[str, list] = {k: [] for k in ("chunk", "bucket", "keys", "v0", "v1")}
     for b in np.flatnonzero(np.diff(cut)):
         a, z = cut[b], cut[b + 1]
@@ -58,6 +65,7 @@ def ask_table(chunk: int, keys: np.ndarray, values: list[np.ndarray], n_buckets:
         for k in (0, 1):
             rows[f"v{k}"].append(pack(values[k][a:z].astype(np.int64)) if k < len(values) else b"")
     types = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+    release()
     return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), types)})
 
 
@@ -80,6 +88,7 @@ def answer(ask: DataFrame, reduce: Callable[[np.ndarray, list[np.ndarray]], np.n
         out[order] = np.repeat(got, np.diff(np.append(first, len(keys))))
         at = np.cumsum([0] + [len(p) for p in parts])
         bucket = key[0].as_py()
+        release()
         return pa.table(
             {
                 "chunk": pa.array(chunks, pa.int64()),

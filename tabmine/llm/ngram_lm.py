@@ -21,6 +21,8 @@ from .common import NOT_SPACE, mix, prefix_sums, range_hash, slices, spans, word
 
 ALPHA = 0.4
 ORDER = 3
+#: Bits of an n-gram's hash (the last one is always 1). Of a million million n-grams, one in 100,000 shares its key.
+KEY_BITS = 58
 
 
 def chunk_words(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +60,7 @@ class ChunkGrams:
     def keys(self, n: int):
         """(start positions, sorted distinct keys, index of each position's key, occurrences per key)."""
         at = self.positions(n)
-        h = mix(range_hash(self.sums, at, at + n) + np.uint64(n)) | np.uint64(1)  # 0 stands for the number of words
+        h = (mix(range_hash(self.sums, at, at + n) + np.uint64(n)) >> np.uint64(64 - KEY_BITS)) | np.uint64(1)  # 0 stands for the number of words
         keys, inv, count = np.unique(h, return_inverse=True, return_counts=True)
         return at, keys, inv, count
 
@@ -116,9 +118,9 @@ def lm_scores(docs: DataFrame, order: int = ORDER) -> DataFrame:
     def asks(n: int):
         def ask(t, found):
             if not t.num_rows:
-                return lookup.ask_table(0, np.zeros(0, np.uint64), [], buckets)
+                return lookup.ask_table(0, np.zeros(0, np.uint64), [], buckets, KEY_BITS)
             keys, count = known(t, found, n - 1).ask(n)
-            return lookup.ask_table(t.column("chunk")[0].as_py(), keys, [count], buckets)
+            return lookup.ask_table(t.column("chunk")[0].as_py(), keys, [count], buckets, KEY_BITS)
 
         return ask
 
