@@ -3,8 +3,9 @@ hashes, scratch tables in the shared checkpoint folder, input clean-up."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabmine.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a Python task; a longer single text is handled alone.
-SLICE_BYTES = 3 << 20
+SLICE_BYTES = 2 << 20
 
 
 def byte_class(*ranges: tuple[int, int]) -> np.ndarray:
@@ -48,6 +49,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(schema).parquet(path)
 
 
+try:
+    _TRIM: Callable | None = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):  # another C library
+    _TRIM = None
+
+
+def release() -> None:
+    """Give freed memory back: Python workers live on between tasks and share an executor's memory."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A mapInArrow function that releases its memory at the end of the partition."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return inner
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

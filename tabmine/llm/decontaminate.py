@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, slices, spans, stored, utf8, word_hashes
+from .common import ALNUM, LOWER, slices, spans, stored, tidy, utf8, word_hashes
 
 #: Item words of one automaton (about 1 KB each in a task).
 MAX_ITEM_WORDS = 50_000
@@ -197,12 +197,14 @@ def automata(benchmark: DataFrame, window: int, max_words: int = MAX_ITEM_WORDS)
 _FOUND = "__n_words long, __n_hit long, __hits array<long>, __items array<string>"
 
 
-def _locate(docs: DataFrame, model: Automaton, first: bool, last_columns: list[str]) -> DataFrame:
-    """One pass: adds the hit word ranges (flat starts and ends) and items of `model` to those of earlier passes."""
+def _locate(docs: DataFrame, model: Automaton, first: bool, last_columns: list[str], max_coverage: float | None = None) -> DataFrame:
+    """One pass: adds the hit word ranges (flat starts and ends) and items of `model` to those of earlier passes.
+    With `max_coverage`, hit words leave the text and documents with more of them hit leave the table."""
     at, n_in = docs.columns.index("text"), len(docs.columns)
     out = [c for c in docs.columns if c in last_columns]
     places = [docs.columns.index(c) for c in out]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in out)
+    counted = out.index("n_chars") if max_coverage is not None and "n_chars" in out else None
 
     def run(batches):
         for b in batches:
@@ -210,23 +212,51 @@ def _locate(docs: DataFrame, model: Automaton, first: bool, last_columns: list[s
                 part = b.slice(i, j - i)
                 old_hits = part.column(n_in - 2).to_pylist() if not first else [[]] * (j - i)
                 old_items = part.column(n_in - 1).to_pylist() if not first else [[]] * (j - i)
-                n_words, n_hit, ranges, items = [], [], [], []
-                for (n, _, _, hit, got), before, known in zip(model.match(raw, off), old_hits, old_items):
+                n_words, n_hit, ranges, items, texts = [], [], [], [], {}
+                body = raw.tobytes()
+                for d, ((n, ws, _, hit, got), before, known) in enumerate(zip(model.match(raw, off), old_hits, old_items)):
                     for a, z in zip(before[::2], before[1::2]):
                         hit[a:z] = True
-                    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
+                    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))).tolist()
                     n_words.append(int(n))
                     n_hit.append(int(hit.sum()))
-                    ranges.append(edge.tolist())
+                    ranges.append(edge)
                     items.append(sorted(got.union(known)))
-                cols = [part.column(k) for k in places] + [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ranges, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(cols, names=[*out, "__n_words", "__n_hit", "__hits", "__items"])
-
-    return docs.mapInArrow(run, f"{fields}, {_FOUND}")
+                    if edge and max_coverage is not None:
+                        texts[d] = _without(body, ws, edge, int(off[d]), int(off[d + 1]))
+                cols = [part.column(k) for k in places]
+                if texts:
+                    changed = cols[out.index("text")].to_pylist()
+                    for d, t in texts.items():
+                        changed[d] = t
+                    cols[out.index("text")] = pa.array(changed, pa.string())
+                    if counted is not None:
+                        sizes = cols[counted].to_pylist()
+                        for d, t in texts.items():
+                            sizes[d] = len(t)
+                        cols[counted] = pa.array(sizes, cols[counted].type)
+                if max_coverage is None:
+                    cols += [pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(ranges, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))]
+                    yield pa.RecordBatch.from_arrays(cols, names=[*out, "__n_words", "__n_hit", "__hits", "__items"])
+                else:
+                    stays = [h <= max_coverage * n for h, n in zip(n_hit, n_words)]
+                    yield pa.RecordBatch.from_arrays(cols, names=out).filter(pa.array(stays, pa.bool_()))
+
+    return docs.mapInArrow(tidy(run), fields if max_coverage is not None else f"{fields}, {_FOUND}")
+
+
+def _without(body: bytes, starts: np.ndarray, ranges: list[int], begin: int, end: int) -> str:
+    """The text of bytes [begin, end) without the words of the ranges, each gone up to the next word."""
+    out, pos = [], begin
+    for a, z in zip(ranges[::2], ranges[1::2]):
+        out.append(body[pos : int(starts[a])])
+        pos = int(starts[z]) if z < len(starts) else end
+    out.append(body[pos:end])
+    return b"".join(out).decode("utf-8")
 
 
-def locate(docs: DataFrame, benchmark: DataFrame, window: int, keep: list[str]) -> DataFrame:
-    """`keep` columns of `docs` with __n_words, __n_hit, __hits, __items. More than one automaton: one stored pass each,
+def locate(docs: DataFrame, benchmark: DataFrame, window: int, keep: list[str], max_coverage: float | None = None) -> DataFrame:
+    """`keep` columns of `docs` with __n_words, __n_hit, __hits, __items (or without the hit words). More than one automaton: one stored pass each,
     so that a task holds one at a time."""
     models = list(automata(benchmark, window))
     out = docs
@@ -234,7 +264,7 @@ def locate(docs: DataFrame, benchmark: DataFrame, window: int, keep: list[str])
         last = k == len(models) - 1
         if k:
             out = stored(out, "hits").select(*docs.columns, "__hits", "__items")
-        out = _locate(out, m, k == 0, keep if last else docs.columns)
+        out = _locate(out, m, k == 0, keep if last else docs.columns, max_coverage if last else None)
     return out
 
 
@@ -259,36 +289,4 @@ def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_cov
     """The documents without benchmark passages: hit words go (with the bytes up to the next kept word), and a document
     with more than `max_coverage` of its words hit goes whole. Other columns stay; a column n_chars follows a changed text.
     Clean documents are returned unchanged, null texts too."""
-    found = locate(docs, benchmark, window, docs.columns).where(F.col("__n_hit") <= F.lit(max_coverage) * F.col("__n_words"))
-    names, at = docs.columns, docs.columns.index("text")
-    counted = names.index("n_chars") if "n_chars" in names else None
-
-    def run(batches):
-        for b in batches:
-            cols = [b.column(k) for k in range(len(names))]
-            ranges = b.column(len(names))
-            dirty = [k for k, r in enumerate(ranges.to_pylist()) if r]
-            if dirty:
-                texts = cols[at].to_pylist()
-                sizes = cols[counted].to_pylist() if counted is not None else []
-                for k in dirty:
-                    texts[k] = _without(texts[k], ranges[k].as_py())
-                    if counted is not None:
-                        sizes[k] = len(texts[k])
-                cols[at] = pa.array(texts, cols[at].type)
-                if counted is not None:
-                    cols[counted] = pa.array(sizes, cols[counted].type)
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-
-    return found.select(*names, "__hits").mapInArrow(run, docs.schema)
-
-
-def _without(text: str, ranges: list[int]) -> str:
-    raw, off = utf8(pa.array([text], pa.large_string()))
-    starts, _, _ = spans(LOWER[raw], off, ALNUM)
-    body, out, pos = raw.tobytes(), [], 0
-    for a, z in zip(ranges[::2], ranges[1::2]):
-        out.append(body[pos : int(starts[a])])
-        pos = int(starts[z]) if z < len(starts) else len(body)
-    out.append(body[pos:])
-    return b"".join(out).decode("utf-8")
+    return locate(docs, benchmark, window, docs.columns, max_coverage).select(*docs.columns)

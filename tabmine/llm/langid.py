@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, tidy
 
 DIM = 1024
 #: Letter codes: 0 stands for all between words, 1-26 for a-z, the rest for the other letters by a hash of the code point.
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, dim: int = DIM) -> tuple[list[str], np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([name] * dim), pa.array(np.arange(dim, dtype=np.int32)), pa.array(np.rint(s * 2**20).astype(np.int64))], ["lang", "k", "v"])
 
     # sums of whole numbers: the same whatever the order of the partitions
-    rows = src.mapInArrow(add, "lang string, k int, v long").groupBy("lang", "k").agg(F.sum("v").alias("v"))
+    rows = src.mapInArrow(tidy(add), "lang string, k int, v long").groupBy("lang", "k").agg(F.sum("v").alias("v"))
     per = rows.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("k", "v"))).alias("p")).orderBy("lang").collect()
     proto = np.array([[x["v"] for x in r["p"]] for r in per], np.float64).reshape(len(per), dim)
     norm = np.sqrt((proto**2).sum(1, keepdims=True))
@@ -137,7 +137,7 @@ def predict(docs: DataFrame, langs: list[str], proto: np.ndarray) -> DataFrame:
                 score = np.where(none, 0.0, np.clip(cos[np.arange(len(best)), best], 0.0, 1.0))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.array(names, pa.string()), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return src.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return src.mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def held_out(folds: int, fold: int):

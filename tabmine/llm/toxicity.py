@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, byte_sums, range_hash, slices, spans, stored
+from .common import ALNUM, LOWER, byte_sums, range_hash, slices, spans, stored, tidy
 
 BITS = 18
 N = 1 << BITS
@@ -107,7 +107,7 @@ def _sums(rows: DataFrame, fn, value: str = "v double") -> np.ndarray:
         for at, v in fn(batches):
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(v.astype(np.float64))], ["k", "v"])
 
-    got = rows.mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
+    got = rows.mapInArrow(tidy(run), "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).toArrow()
     out = np.zeros(3 * N)
     out[got.column("k").to_numpy()] = got.column("v").to_numpy()
     return out
@@ -242,7 +242,7 @@ def fit(labelled: DataFrame, steps: int = 12) -> Field:
             for i, j, (_, _, first, chains, feats) in _rows(b):
                 yield pa.RecordBatch.from_arrays([pa.array(_highest(field.marginals(feats, chains), first)), b.column(1).slice(i, j - i)], ["m", "y"])
 
-    got = rows.mapInArrow(highest, "m double, y int").toArrow()  # two numbers for each of the bounded fit rows
+    got = rows.mapInArrow(tidy(highest), "m double, y int").toArrow()  # two numbers for each of the bounded fit rows
     m, y = _logit(got.column("m").to_numpy()) / 4, got.column("y").to_numpy().astype(float)
     a, b = 1.0, 0.0
     for _ in range(50):  # logistic calibration, a slightly damped Newton
@@ -280,7 +280,7 @@ def score(docs: DataFrame, field: Field) -> DataFrame:
                 )
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    return docs.mapInArrow(run, f"{fields}, __score double, __spans array<struct<start:long,end:long>>")
+    return docs.mapInArrow(tidy(run), f"{fields}, __score double, __spans array<struct<start:long,end:long>>")
 
 
 def held_out():
