@@ -3,14 +3,16 @@
 1. Each text becomes its set of shingles (64-bit hashes), a fingerprint of the set and a signature of COORDS coordinates.
    Equal sets form one class, represented by its smallest doc_id; only classes go on.
 2. A class is posted under each pair (coordinate, value). Two sets of similarity 0.8 share at least MATCHES of COORDS
-   coordinates but for a chance of 3e-7. Prefix: with the pairs in one global order, rarest first, two such
+   coordinates but for a chance of 4e-6 (less above 0.8). Prefix: with the pairs in one global order, rarest first, two such
    signatures meet in their first COORDS - MATCHES + 1 pairs, so only those are posted, and of those only pairs that two
    classes have; the frequent half of a signature is never merged. Skip: classes whose sizes rule the similarity out are
    passed over.
-3. Merging, first over stars: every class against the first class of each of its lists; of those, the one it shares most
-   coordinates with is confirmed on the full sets, and confirmed links are joined into components. Then over what is left:
-   pairs of a list that are in different components yet share MATCHES coordinates are all confirmed. A group of m near
-   copies so costs about m pairs, not m^2, and no link between different components is lost.
+3. Merging, first in ROUNDS over stars: every class against two classes of each of its lists, drawn by hash, that are in
+   other components; the one it shares most coordinates with is confirmed on the full sets, and confirmed links are joined
+   into components. Then over what is left: pairs of a list that are in different components yet share MATCHES
+   coordinates are all confirmed, but for those that cannot be linked by how many of their shingles no other open set
+   has: a group of copies with edits of their own is told apart without comparing each two. A group of m near copies so costs about m pairs a round, not m^2, and no link between
+   different components is lost.
 
 Collisions are counted on one byte per coordinate, eight to a long (a match always matches there, so nothing is missed)."""
 
@@ -24,10 +26,14 @@ from pyspark.sql import functions as F
 from tabmine.operators.components import connected_components
 
 from . import lookup
-from .common import LOWER, NOT_SPACE, mix, prefix_sums, range_hash, slices, spans, stored, word_hashes
+from .common import LOWER, NOT_SPACE, mix, prefix_sums, range_hash, slices, spans, stored, tidy, word_hashes
 
-COORDS, MATCHES = 64, 34
+COORDS, MATCHES = 64, 36
 PREFIX = COORDS - MATCHES + 1
+#: Rounds over stars before the remaining pairs are confirmed.
+ROUNDS = 2
+#: Classes of a chunk and posting keys of a bucket in the frequency count.
+CHUNK_CLASSES, BUCKET_KEYS = 10_000, 1_000_000
 #: Smallest set that can be linked with a different one: 4 of 5 shingles.
 LEAST = 4
 #: Ids up to which the table of wanted classes is sent with the scan of the texts; beyond, texts are shuffled.
@@ -95,13 +101,13 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                     ["doc_id", "n", "f1", "f2", "sig"],
                 )
 
-    return stored(docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long, sig binary"), "signatures")
+    return stored(docs.mapInArrow(tidy(run), "doc_id long, n long, f1 long, f2 long, sig binary"), "signatures")
 
 
 def _postings(classes: DataFrame) -> DataFrame:
     """key, c, n, p0.. of each class's prefix, without the keys that only one class has; stored."""
     total = classes.count()
-    chunks, buckets = max(1, -(-total // 20_000)), max(1, total * COORDS // lookup.BUCKET_KEYS)
+    chunks, buckets = max(1, -(-total // CHUNK_CLASSES)), max(1, total * COORDS // BUCKET_KEYS)
     dealt = classes.select("c", "n", "sig").withColumn("chunk", F.pmod(F.xxhash64("c"), F.lit(chunks)))
 
     def matrix(t) -> np.ndarray:
@@ -146,10 +152,9 @@ def _prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
     return df.select(*[F.col(c) if c in keep else F.col(c).alias(prefix + c) for c in df.columns])
 
 
-def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes, with their representatives' ids in ra and rb, whose full sets are linked."""
-    pairs = stored(pairs, "pairs")
-    ids = stored(pairs.select(F.col("ra").alias("id"), F.col("a").alias("c")).union(pairs.select("rb", "b")).distinct(), "wanted")
+def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """c, set (sorted shingle hashes) of the classes in `ids` (id: the representative's doc_id, c), stored."""
+    ids = stored(ids, "wanted")
     known = F.broadcast(ids) if ids.count() <= SENT_IDS else ids
     texts = docs.join(known, F.col("doc_id") == F.col("id")).select("c", "text")
 
@@ -162,8 +167,12 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
                 mine = np.flatnonzero(f1 == b.column(0).slice(i, j - i).to_numpy())
                 yield pa.RecordBatch.from_arrays([pa.array(f1[mine]), pa.array([h[first[k] : first[k + 1]].tobytes() for k in mine], pa.binary())], ["c", "set"])
 
-    s = stored(texts.mapInArrow(sets, "c long, set binary").dropDuplicates(["c"]), "sets")
-    both = pairs.join(s.select(F.col("c").alias("a"), F.col("set").alias("sa")), "a").join(s.select(F.col("c").alias("b"), F.col("set").alias("sb")), "b")
+    return stored(texts.mapInArrow(tidy(sets), "c long, set binary").dropDuplicates(["c"]), "sets")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets are linked."""
+    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("c").alias("b"), F.col("set").alias("sb")), "b")
 
     def check(batches):
         for b in batches:
@@ -174,7 +183,33 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> D
                 keep.append(100 * same >= percent * (len(x) + len(y) - same))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long"), "links")
+    return stored(both.select("a", "b", "sa", "sb").mapInArrow(tidy(check), "a long, b long"), "links")
+
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """c, shared: how many shingles of the set stand in another one of `sets`."""
+    n_bytes = int(sets.agg(F.sum(F.octet_length("set"))).first()[0] or 0)
+    chunks, buckets = max(1, -(-n_bytes // lookup.CHUNK_BYTES)), max(1, n_bytes // (8 * BUCKET_KEYS))
+    dealt = sets.withColumn("chunk", F.pmod(F.xxhash64("c"), F.lit(chunks)))
+
+    def ask(t):
+        keys, count = np.unique(np.frombuffer(b"".join(t.column("set").to_pylist()), np.uint64), return_counts=True)
+        return lookup.ask_table(t.column("chunk")[0].as_py(), keys, [count], buckets)
+
+    found = lookup.answer(dealt.groupBy("chunk").applyInArrow(ask, lookup.ASK), lookup.total, 1)
+
+    def count(t, answers):
+        if not t.num_rows:
+            return pa.table({"c": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
+        blobs = t.column("set").to_pylist()
+        flat = np.frombuffer(b"".join(blobs), np.uint64)
+        keys = np.unique(flat)
+        also = lookup.answers_of(answers, 1)[np.searchsorted(keys, flat)] > 1
+        ends = np.cumsum([len(b) // 8 for b in blobs])
+        got = np.diff(np.concatenate([[0], np.cumsum(also)[ends - 1]]))
+        return pa.table({"c": t.column("c"), "shared": pa.array(got.astype(np.int64))})
+
+    return stored(dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(count, "c long, shared long"), "shared")
 
 
 def _components(links: DataFrame) -> DataFrame:
@@ -202,22 +237,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     posted = _postings(classes.where(F.col("n") >= LEAST))
 
     sizes = (100 * F.least("n", "m_n") >= percent * F.greatest("n", "m_n")) & (_collisions("", "m_") >= MATCHES)
-    leaders = posted.groupBy("key").agg(F.min(F.struct("c", "n", *_PACKS)).alias("m")).select("key", *[F.col(f"m.{x}").alias(f"m_{x}") for x in ("c", "n", *_PACKS)])
-    stars = posted.join(leaders, "key").where((F.col("c") != F.col("m_c")) & sizes).select("c", "m_c", _collisions("", "m_").alias("hits"))
-    best = stars.groupBy("c").agg(F.max(F.struct("hits", "m_c")).alias("m")).select(F.col("c").alias("a"), F.col("m.m_c").alias("b"))
-
-    def with_reps(pairs: DataFrame) -> DataFrame:
-        return pairs.join(reps.select(F.col("c").alias("a"), F.col("rep").alias("ra")), "a").join(reps.select(F.col("c").alias("b"), F.col("rep").alias("rb")), "b")
-
-    links = _confirmed(src, with_reps(best), words, percent)
-    first = _components(links)
-    labelled = posted.join(first, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    labelled = stored(labelled, "labelled")
+    def ids_of(c: DataFrame) -> DataFrame:
+        return reps.join(c.distinct(), "c").select(F.col("rep").alias("id"), "c")
+
+    links, labelled = None, posted.withColumn("label", F.col("c"))
+    for r in range(ROUNDS):
+        drawn = F.struct(F.xxhash64("c", "key", F.lit(r)), "c", "n", "label", *_PACKS)
+        two = labelled.groupBy("key").agg(F.array(F.max(drawn), F.min(drawn)).alias("m")).select("key", F.explode("m").alias("m"))
+        two = two.select("key", *[F.col(f"m.{x}").alias(f"m_{x}") for x in ("c", "n", "label", *_PACKS)])
+        stars = labelled.join(two, "key").where((F.col("label") != F.col("m_label")) & sizes).select("c", "m_c", _collisions("", "m_").alias("hits"))
+        best = stars.groupBy("c").agg(F.max(F.struct("hits", "m_c")).alias("m"))
+        best = stored(best.select(F.col("c").alias("a"), F.col("m.m_c").alias("b")), "pairs")
+        got = _confirmed(best, _sets(src, ids_of(best.select(F.col("a").alias("c")).union(best.select("b"))), words), percent)
+        links = got if links is None else links.unionByName(got)
+        labelled = posted.join(_components(links), "c", "left").withColumn("label", F.coalesce("label", "c"))
+        labelled = stored(labelled, "labelled")
     # lists that lie in one component have nothing left to find
     open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    rest = labelled.join(open_keys, "key")
-    pairs = _prefixed(rest, "", ["key"]).join(_prefixed(rest, "m_", ["key"]), "key").where((F.col("c") < F.col("m_c")) & (F.col("label") != F.col("m_label")) & sizes)
-    more = _confirmed(src, with_reps(pairs.select(F.col("c").alias("a"), F.col("m_c").alias("b")).distinct()), words, percent)
+    rest = stored(labelled.join(open_keys, "key"), "open")
+    sets = _sets(src, ids_of(rest.select("c")), words)
+    rest = rest.join(_shared(sets), "c")
+    # what only one set has is in no intersection, but in the union
+    low = F.least("shared", "m_shared")
+    possible = 100 * low >= percent * (F.col("n") + F.col("m_n") - low)
+    pairs = _prefixed(rest, "", ["key"]).join(_prefixed(rest, "m_", ["key"]), "key").where((F.col("c") < F.col("m_c")) & (F.col("label") != F.col("m_label")) & sizes & possible)
+    more = _confirmed(stored(pairs.select(F.col("c").alias("a"), F.col("m_c").alias("b")).distinct(), "pairs"), sets, percent)
 
     members = stored(some.select("doc_id", F.col("f1").alias("c")).distinct(), "members")
     # a document with several sets ties their classes together
