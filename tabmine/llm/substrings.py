@@ -25,9 +25,11 @@ from .common import byte_sums, mix, range_hash, slices
 from .phrases import sliding_min
 
 WINDOW, GRAM = 200, 32
+#: Text bytes of a chunk, and of the part of it in work: every byte in work costs some 100 bytes of arrays for a moment.
+CHUNK_BYTES, STEP_BYTES = 3 << 20, 1 << 20
 #: Text bytes for each bucket of stretches.
 BUCKET_BYTES = 16 << 20
-_RUNS, _ANCHORS, _BLOCKS, _WINDOWS, _FOUND = range(5)
+_RUNS, _ANCHORS, _BLOCKS, _PLAN, _WINDOWS, _FOUND = range(6)
 
 
 def _sorted(t: pa.Table) -> pa.Table:
@@ -40,7 +42,7 @@ def _runs(t: pa.Table, window: int) -> np.ndarray:
     The lowest bit of the block hash tells that the anchor stands twice or more in the block, so that windows may
     repeat inside the run."""
     out, base = [np.zeros((4, 0), np.int64)], 0
-    for _, _, raw, off in slices(t.column("text")):
+    for _, _, raw, off in slices(t.column("text"), STEP_BYTES):
         n = len(raw)
         if n >= window:
             sums = byte_sums(raw)
@@ -65,44 +67,58 @@ def _runs(t: pa.Table, window: int) -> np.ndarray:
 def _times(values: np.ndarray, wanted: np.ndarray, a: np.ndarray, z: np.ndarray) -> np.ndarray:
     """How often `wanted` stands in each range [a, z) of `values`."""
     out = np.zeros(len(a), np.int64)
-    for i in range(0, len(a), 4096):
-        x, n = a[i : i + 4096], (z - a)[i : i + 4096]
+    for i in range(0, len(a), 2048):
+        x, n = a[i : i + 2048], (z - a)[i : i + 2048]
         at = np.arange(n.sum()) + np.repeat(x - (np.cumsum(n) - n), n)
-        same = values[at] == np.repeat(wanted[i : i + 4096], n)
-        out[i : i + 4096] = np.add.reduceat(same, np.cumsum(n) - n)
+        same = values[at] == np.repeat(wanted[i : i + 2048], n)
+        out[i : i + 2048] = np.add.reduceat(same, np.cumsum(n) - n)
     return out
 
 
 class Chunk:
-    """What is known of a chunk: its runs and the answers so far."""
+    """A chunk's runs."""
 
-    def __init__(self, info: pa.Table):
-        runs = [b for r, b in zip(info.column("round").to_pylist(), info.column("found").to_pylist()) if r == _RUNS]
-        m = lookup.unpack(runs[0]).reshape(4, -1)
+    def __init__(self, t: pa.Table):
+        m = lookup.unpack(t.column("found")[0].as_py()).reshape(4, -1)
+        self.number = t.column("chunk")[0].as_py()
         self.start, self.count, self.anchor, self.block, self.twice = m[0], m[1], m[2].view(np.uint64), m[3] & ~np.int64(1), (m[3] & 1) > 0
-        self.info = info
 
-    def codes(self) -> np.ndarray:
+    def codes(self, info: pa.Table) -> np.ndarray:
         """Per run: 0 alone with its anchor, 1 all runs of the anchor have its block, 2 several blocks, or one that may repeat itself."""
         keys = np.unique(self.anchor)
-        found = lookup.answers_of(self.info, _ANCHORS)
+        found = lookup.answers_of(info, _ANCHORS)
         return found[np.searchsorted(keys, self.anchor)] if len(keys) else np.zeros(0, np.int64)
 
-    def blocks(self) -> tuple[np.ndarray, np.ndarray]:
+    def blocks(self, info: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """Runs with code 2 and their block keys."""
-        k = np.flatnonzero(self.codes() == 2)
+        k = np.flatnonzero(self.codes(info) == 2)
         return k, mix(self.block[k].view(np.uint64))
 
-    def repeated_runs(self, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+    def repeated_runs(self, info: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         """(runs all of whose windows are repeated, runs that stand for their block in step 3)."""
-        codes = self.codes()
-        k, key = self.blocks()
+        k, key = self.blocks(info)
         keys = np.unique(key)
-        found = lookup.answers_of(self.info, _BLOCKS)
+        found = lookup.answers_of(info, _BLOCKS)
         found = found[np.searchsorted(keys, key)] if len(keys) else np.zeros(0, np.int64)
         again = (found & 1) > 0
-        mine = (found >> 1) == _place(chunk, self.start[k])
-        return np.concatenate([np.flatnonzero(codes == 1), k[again]]), k[mine]
+        mine = (found >> 1) == _place(self.number, self.start[k])
+        return np.concatenate([np.flatnonzero(self.codes(info) == 1), k[again]]), k[mine]
+
+
+class Plan:
+    """What steps 1 and 2 leave of a chunk: the runs for step 3 and those that are repeated whole."""
+
+    def __init__(self, info: pa.Table):
+        raw = next(b for r, b in zip(info.column("round").to_pylist(), info.column("found").to_pylist()) if r == _PLAN)
+        x = lookup.unpack(raw)
+        n = int(x[0])
+        self.start, self.count, self.anchor = x[1 : 1 + 3 * n].reshape(3, n)
+        self.known_start, self.known_count = x[1 + 3 * n :].reshape(2, -1)
+        self.info = info
+
+
+def _row(chunk: int, round_: int, found: bytes) -> pa.Table:
+    return pa.table({"chunk": pa.array([chunk], pa.int64()), "bucket": pa.array([0], pa.int64()), "round": pa.array([round_], pa.int32()), "found": pa.array([found], pa.binary())})
 
 
 def _place(chunk: int, at: np.ndarray) -> np.ndarray:
@@ -134,14 +150,14 @@ def _grouped(keys: np.ndarray, *values: np.ndarray):
     return keys[first], first, [v[order] for v in values], np.diff(np.append(first, len(keys)))
 
 
-def _step3_windows(t: pa.Table, c: Chunk, standing: np.ndarray, window: int):
-    """Per slice of the text: (starts of the standing runs' windows, their hashes, run of each, the bytes, first byte)."""
+def _step3_windows(t: pa.Table, plan: Plan, window: int):
+    """Per slice of the text: (starts of the windows of step 3, their hashes, run of each, the bytes, first byte)."""
     base = 0
-    for _, _, raw, off in slices(t.column("text")):
-        k = standing[(c.start[standing] >= base) & (c.start[standing] < base + len(raw))]
+    for _, _, raw, off in slices(t.column("text"), STEP_BYTES):
+        k = np.flatnonzero((plan.start >= base) & (plan.start < base + len(raw)))
         if len(k):
-            n = c.count[k]
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(c.start[k] - base, n)
+            n = plan.count[k]
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(plan.start[k] - base, n)
             yield at, range_hash(byte_sums(raw), at, at + window), np.repeat(k, n), raw, base
         base += len(raw)
 
@@ -156,45 +172,51 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         raise ValueError(f"window must be above {GRAM}")
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n_bytes = lookup.text_bytes(src)
-    dealt = lookup.deal(src, n_bytes)
+    dealt = lookup.deal(src, n_bytes, CHUNK_BYTES)
     buckets = max(1, n_bytes // (32 * lookup.BUCKET_KEYS))
     window_buckets = max(1, n_bytes // (8 * lookup.BUCKET_KEYS))
     meetings = max(1, n_bytes // BUCKET_BYTES)
     none = np.zeros(0, np.uint64)
 
     def runs(t):
-        chunk = t.column("chunk")[0].as_py()
-        return pa.table({"chunk": pa.array([chunk]), "bucket": pa.array([0]), "round": pa.array([_RUNS], pa.int32()), "found": pa.array([lookup.pack(_runs(_sorted(t), window).reshape(-1))], pa.binary())})
+        return _row(t.column("chunk")[0].as_py(), _RUNS, lookup.pack(_runs(_sorted(t), window).reshape(-1)))
 
     def ask_anchors(t):
         c = Chunk(t)
         # a run that may repeat itself counts as another block, 0, so that its windows are looked at
         keys, first, (block,), size = _grouped(np.concatenate([c.anchor, c.anchor[c.twice]]), np.concatenate([c.block, np.zeros(c.twice.sum(), np.int64)]))
         last = first + size - 1
-        return lookup.ask_table(t.column("chunk")[0].as_py(), keys, [block[first] | (size > 1), block[last]], buckets)
+        return lookup.ask_table(c.number, keys, [block[first] | (size > 1), block[last]], buckets)
 
-    def ask_blocks(t):
-        c, chunk = Chunk(t), t.column("chunk")[0].as_py()
-        k, key = c.blocks()
-        keys, first, (place,), size = _grouped(key, _place(chunk, c.start[k]))
-        return lookup.ask_table(chunk, keys, [place[first], size], buckets)
+    def ask_blocks(t, info):
+        if not t.num_rows:
+            return lookup.ask_table(0, none, [], buckets)
+        c = Chunk(t)
+        k, key = c.blocks(info)
+        keys, first, (place,), size = _grouped(key, _place(c.number, c.start[k]))
+        return lookup.ask_table(c.number, keys, [place[first], size], buckets)
+
+    def plan(t, info):
+        if not t.num_rows:
+            return _row(0, _PLAN, lookup.pack(np.zeros(1, np.int64))).slice(0, 0)
+        c = Chunk(t)
+        known, standing = c.repeated_runs(info)
+        parts = [np.array([len(standing)], np.int64), c.start[standing], c.count[standing], c.anchor[standing].view(np.int64), c.start[known], c.count[known]]
+        return _row(c.number, _PLAN, lookup.pack(np.concatenate(parts)))
 
     def ask_windows(t, info):
         if not t.num_rows:
             return lookup.ask_table(0, none, [], window_buckets)
-        chunk = t.column("chunk")[0].as_py()
-        c = Chunk(info)
-        hashes = [h for _, h, _, _, _ in _step3_windows(_sorted(t), c, c.repeated_runs(chunk)[1], window)]
+        hashes = [h for _, h, _, _, _ in _step3_windows(_sorted(t), Plan(info), window)]
         keys, count = np.unique(np.concatenate(hashes) if hashes else none, return_counts=True)
-        return lookup.ask_table(chunk, keys, [count], window_buckets)
+        return lookup.ask_table(t.column("chunk")[0].as_py(), keys, [count], window_buckets)
 
     def stretches(t, info):
         """Stretches of step 3 for the buckets."""
         rows: list[tuple] = []
         if t.num_rows:
-            chunk = t.column("chunk")[0].as_py()
-            c = Chunk(info)
-            parts = list(_step3_windows(_sorted(t), c, c.repeated_runs(chunk)[1], window))
+            chunk, todo = t.column("chunk")[0].as_py(), Plan(info)
+            parts = list(_step3_windows(_sorted(t), todo, window))
             keys = np.unique(np.concatenate([p[1] for p in parts])) if parts else none
             again = lookup.answers_of(info, _WINDOWS)
             for at, h, run, raw, base in parts:
@@ -205,7 +227,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     body = raw.tobytes()
                     for a, z in zip(np.concatenate([[0], cut]).tolist(), np.concatenate([cut, [len(at)]]).tolist()):
                         piece = body[int(at[a]) : int(at[z - 1]) + window]
-                        meet = int(mix(c.anchor[run[a] : run[a] + 1])[0] % np.uint64(meetings))
+                        meet = int(mix(todo.anchor[run[a] : run[a] + 1].view(np.uint64))[0] % np.uint64(meetings))
                         rows.append((chunk, int(at[a]) + base, meet, hashlib.blake2b(piece, digest_size=16).digest(), piece))
         cols = list(zip(*rows)) if rows else [()] * 5
         return pa.table({k: pa.array(v, ty) for k, v, ty in zip(("chunk", "at", "meet", "digest", "piece"), cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))})
@@ -228,10 +250,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         if t.num_rows:
             t = _sorted(t)
             ids = t.column("doc_id")
-            chunk = t.column("chunk")[0].as_py()
-            c = Chunk(info)
-            known, _ = c.repeated_runs(chunk)
-            starts, counts = [c.start[known]], [c.count[known]]
+            done = Plan(info)
+            starts, counts = [done.known_start], [done.known_count]
             for r, at, b in zip(*(info.column(k).to_pylist() for k in ("round", "bucket", "found"))):
                 if r == _FOUND:
                     lo, n = lookup.unpack(b).reshape(2, -1)
@@ -239,7 +259,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     counts.append(n)
             starts, counts = np.concatenate(starts), np.concatenate(counts)
             base = 0
-            for _, _, raw, off in slices(t.column("text")):
+            for _, _, raw, off in slices(t.column("text"), STEP_BYTES):
                 k = (starts >= base) & (starts < base + len(raw))
                 edge = np.zeros(len(raw) + 1, np.int32)
                 np.add.at(edge, starts[k] - base, 1)
@@ -260,16 +280,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         types = {"n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
         return pa.table({"doc_id": ids, **{k: pa.array(v, types[k]) for k, v in out.items()}})
 
-    info = dealt.groupBy("chunk").applyInArrow(runs, lookup.ANSWER)
-    info = info.unionByName(lookup.answer(info.groupBy("chunk").applyInArrow(ask_anchors, lookup.ASK), _anchor_code, _ANCHORS))
-    info = info.unionByName(lookup.answer(info.groupBy("chunk").applyInArrow(ask_blocks, lookup.ASK), _block_code, _BLOCKS))
     by_chunk = dealt.groupBy("chunk")
-    asked = by_chunk.cogroup(info.groupBy("chunk")).applyInArrow(ask_windows, lookup.ASK)
-    windows = info.unionByName(lookup.answer(asked, _again, _WINDOWS))
-    sent = by_chunk.cogroup(windows.groupBy("chunk")).applyInArrow(stretches, "chunk long, at long, meet long, digest binary, piece binary")
+    found_runs = by_chunk.applyInArrow(runs, lookup.ANSWER)
+    by_run = found_runs.groupBy("chunk")
+    anchors = lookup.answer(by_run.applyInArrow(ask_anchors, lookup.ASK), _anchor_code, _ANCHORS)
+    blocks = lookup.answer(by_run.cogroup(anchors.groupBy("chunk")).applyInArrow(ask_blocks, lookup.ASK), _block_code, _BLOCKS)
+    info = by_run.cogroup(anchors.unionByName(blocks).groupBy("chunk")).applyInArrow(plan, lookup.ANSWER)
+    windows = lookup.answer(by_chunk.cogroup(info.groupBy("chunk")).applyInArrow(ask_windows, lookup.ASK), _again, _WINDOWS)
+    sent = by_chunk.cogroup(info.unionByName(windows).groupBy("chunk")).applyInArrow(stretches, "chunk long, at long, meet long, digest binary, piece binary")
     different = sent.groupBy("meet", "digest").agg(F.first("piece").alias("piece"), F.count(F.lit(1)).alias("copies"))
     found = different.groupBy("meet").applyInArrow(meet, "meet long, digest binary, ranges binary")
     back = sent.select("chunk", "at", "meet", "digest").join(found, ["meet", "digest"])
     back = back.select("chunk", F.col("at").alias("bucket"), F.lit(_FOUND).alias("round"), F.col("ranges").alias("found"))
-    last = info.unionByName(back)
-    return by_chunk.cogroup(last.groupBy("chunk")).applyInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return by_chunk.cogroup(info.unionByName(back).groupBy("chunk")).applyInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
