@@ -151,4 +151,50 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, round(coalesce(s, 0), 6) AS log_score
 FROM d LEFT JOIN s USING (rid)
 """
 
-SQL = {"op3_mixing": OP3_SQL, "op6_decontamination": OP6_SQL, "op7_pivot_top_k": OP7_SQL, "op10_lm_scoring": OP10_SQL}
+OP2_SQL = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE_WORD}') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT rid, array_to_string(ws[p : p + 1], ' ') AS g
+  FROM (SELECT rid, ws, unnest(range(1, greatest(len(ws) - 1, 1) + 1)) AS p FROM d WHERE len(ws) > 0)),
+sz AS (SELECT rid, count(*) AS n FROM sh GROUP BY rid),
+df AS (SELECT g, count(*) AS c FROM sh GROUP BY g),
+-- sets that are linked share one of their rarest shingles
+pre AS (
+  SELECT rid, g, n FROM (
+    SELECT sh.rid, sh.g, sz.n, row_number() OVER (PARTITION BY sh.rid ORDER BY df.c, sh.g) AS k FROM sh JOIN sz ON sh.rid = sz.rid JOIN df ON sh.g = df.g)
+  WHERE k <= n - (4 * n + 4) // 5 + 1),
+cand AS (SELECT DISTINCT a.rid AS a, b.rid AS b FROM pre a JOIN pre b ON a.g = b.g AND a.rid < b.rid AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+common AS (SELECT c.a, c.b, count(*) AS i FROM cand c JOIN sh x ON x.rid = c.a JOIN sh y ON y.rid = c.b AND y.g = x.g GROUP BY c.a, c.b),
+l AS (SELECT a, b FROM common JOIN sz p ON p.rid = a JOIN sz q ON q.rid = b WHERE 100 * i >= 80 * (p.n + q.n - i)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l UNION ALL SELECT x.rid, y.rid FROM d x JOIN d y ON x.doc_id = y.doc_id AND x.rid <> y.rid),
+reach(a, b) AS (SELECT rid, rid FROM d UNION SELECT r.a, e.b FROM reach r JOIN e ON e.a = r.b),
+comp AS (SELECT r.a AS rid, min(d.doc_id) AS component_id FROM reach r JOIN d ON d.rid = r.b GROUP BY r.a)
+SELECT d.doc_id, coalesce(sz.n, 0)::BIGINT AS n_shingles, comp.component_id, coalesce(d.doc_id = comp.component_id, true) AS kept
+FROM d LEFT JOIN sz ON sz.rid = d.rid LEFT JOIN comp ON comp.rid = d.rid
+"""
+
+OP4_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_extract_all(coalesce(text, ''), '{SPACE_WORD}') AS ws FROM documents),
+w AS (
+  SELECT rid, doc_id, p, md5(array_to_string(ws[p : p + 49], ' ')) AS g
+  FROM (SELECT rid, doc_id, ws, unnest(range(1, len(ws) - 48)) AS p FROM d WHERE len(ws) >= 50)),
+f AS (SELECT g, min(doc_id) AS m FROM w GROUP BY g),
+gone AS (SELECT DISTINCT rid, unnest(range(p, p + 50)) AS i FROM (SELECT w.rid, w.p FROM w JOIN f ON w.g = f.g AND f.m < w.doc_id)),
+x AS (SELECT rid, ws[i] AS w, i FROM (SELECT rid, ws, unnest(range(1, len(ws) + 1)) AS i FROM d)),
+k AS (
+  SELECT x.rid, string_agg(x.w, ' ' ORDER BY x.i) AS kept, count(*) AS n FROM x LEFT JOIN gone ON gone.rid = x.rid AND gone.i = x.i
+  WHERE gone.i IS NULL GROUP BY x.rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.rid = d.rid
+"""
+
+SQL = {
+    "op2_near_duplicates": OP2_SQL,
+    "op3_mixing": OP3_SQL,
+    "op4_phrase_dedup": OP4_SQL,
+    "op6_decontamination": OP6_SQL,
+    "op7_pivot_top_k": OP7_SQL,
+    "op10_lm_scoring": OP10_SQL,
+}

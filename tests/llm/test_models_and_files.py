@@ -23,7 +23,7 @@ def direct_ids(texts):
 
 def test_encoder_equals_the_library():
     odd = ["", " ", "a  b", " lead", "trail ", "x\n y", "x \ny", "don't we'll 's", "a\xa0b c　 d", "tab\t x", "<|endoftext|> hi<|endoftext|>", "end. . ,", "a1, b2. 3. é, ß!",
-           "x\ny", "a b.\nC d, e\n\nf g\n h", "end.\n", "\nstart here", "q\n, r.\n. s\n1 2\n3", "w.\n\n.x y\nz", "a​ b ​ c", "漢字, 仮名。 a", "x, 've", "..,, a", "\x1c a \x1f"]
+           "x\ny", "a b.\nC d, e\n\nf g\n h", "end.\n", "\nstart here", "q\n, r.\n. s\n1 2\n3", "w.\n\n.x y\nz", "a​ b ​ c", "漢字, 仮名。 a", "x, 've", "..,, a", "word's' it'' ''s", "a'' ''b '. x'll'", "(a) [b]} c$$$ d%,.", "a'\ns it's\n've", "\x1c a \x1f"]
     texts = odd + [t or "" for _, t in [(r[0], r[1]) for r in messy.rows()]]
     enc = token_files.Encoder(token_files.vocabulary_path())
     for _ in range(2):  # the second time from what is remembered
@@ -32,7 +32,7 @@ def test_encoder_equals_the_library():
 
 def test_token_files(spark, docs, pairs):
     uri = scratch_dir(spark, "test-tokens")
-    manifest = token_files.write_token_files(docs, uri, token_files.vocabulary_path(), shard_bytes=10_000)
+    manifest = token_files.write_token_files(docs, uri, token_files.vocabulary_path(), shards=4)
     assert manifest.count() > 1
     out = token_files.read_token_files(manifest, uri).orderBy("start").collect()
     assert len(out) == len(pairs)
