@@ -11,10 +11,11 @@
    other components; the one it shares most coordinates with is confirmed on the full sets, and confirmed links are joined
    into components. Then over what is left: pairs of a list that are in different components yet share MATCHES
    coordinates are all confirmed, but for those that cannot be linked by how many of their shingles no other open set
-   has: a group of copies with edits of their own is told apart without comparing each two. A group of m near copies so costs about m pairs a round, not m^2, and no link between
+   has: copies with many edits of their own are told apart without comparing each two. A group of m near copies so costs about m pairs a round, not m^2, and no link between
    different components is lost.
 
-Collisions are counted on one byte per coordinate, eight to a long (a match always matches there, so nothing is missed)."""
+Collisions are counted on seven bits per coordinate, seven coordinates to a long (a match always matches there, so
+nothing is missed)."""
 
 from __future__ import annotations
 
@@ -38,7 +39,8 @@ CHUNK_CLASSES, BUCKET_KEYS = 10_000, 1_000_000
 LEAST = 4
 #: Ids up to which the table of wanted classes is sent with the scan of the texts; beyond, texts are shuffled.
 SENT_IDS = 1_000_000
-_PACKS = [f"p{k}" for k in range(COORDS // 8)]
+LANES = 7
+_PACKS = [f"p{k}" for k in range(-(-COORDS // LANES))]
 _A = np.random.default_rng(11).integers(1, 1 << 63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = np.random.default_rng(12).integers(0, 1 << 63, COORDS, dtype=np.uint64)
 _C = np.random.default_rng(13).integers(0, 1 << 63, COORDS, dtype=np.uint64)
@@ -65,7 +67,7 @@ def shingle_sets(raw: np.ndarray, off: np.ndarray, words: int) -> tuple[np.ndarr
 
 
 def signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """COORDS posting keys (coordinate and value in one 64-bit hash) of each non-empty set."""
+    """Posting keys (coordinate and value in one 64-bit hash) of each non-empty set."""
     start = first[:-1][first[1:] > first[:-1]]
     out = np.empty((len(start), COORDS), np.uint64)
     for k in range(COORDS if len(start) else 0):
@@ -129,7 +131,7 @@ def _postings(classes: DataFrame) -> DataFrame:
         order = np.lexsort([m.ravel(), f.ravel(), np.repeat(np.arange(len(m)), COORDS)]).reshape(m.shape)[:, :PREFIX]
         key, freq = m.ravel()[order], f.ravel()[order]
         row, col = np.nonzero(freq > 1)
-        packs = np.ascontiguousarray((m & np.uint64(0xFF)).astype(np.uint8)).view(np.int64)
+        packs = _packed(m)
         cols = [key[row, col].view(np.int64), t.column("c").to_numpy()[row], t.column("n").to_numpy()[row], *(packs[row, k] for k in range(packs.shape[1]))]
         return pa.table({k: pa.array(x, v) for (k, v), x in zip(types, cols)})
 
@@ -137,15 +139,23 @@ def _postings(classes: DataFrame) -> DataFrame:
     return stored(out, "postings")
 
 
+def _packed(m: np.ndarray) -> np.ndarray:
+    """Seven bits of each key, in the lower bytes of longs, LANES to a long; lanes without a key are 0."""
+    n, k = m.shape
+    out = np.zeros((n, -(-k // LANES), 8), np.uint8)
+    lanes = np.zeros((n, out.shape[1] * LANES), np.uint8)
+    lanes[:, :k] = m & np.uint64(0x7F)
+    out[:, :, :LANES] = lanes.reshape(n, -1, LANES)
+    return out.reshape(n, -1).view(np.int64)
+
+
 def _collisions(a: str, b: str) -> Column:
-    """Equal bytes of two packed signatures: each byte of p ^ q is folded into its lowest bit, 0 where they agree."""
-    total = F.lit(COORDS)
+    """Equal lanes of two packed signatures: adding 127 to a lane of p ^ q carries into its eighth bit unless it is 0."""
+    differ = F.lit(0)
     for p in _PACKS:
-        x = F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}"))
-        for mask, shift in ((-0x0F0F0F0F0F0F0F10, 4), (0x0C0C0C0C0C0C0C0C, 2), (0x0202020202020202, 1)):
-            x = x.bitwiseOR(F.shiftrightunsigned(x.bitwiseAND(F.lit(mask)), shift))
-        total = total - F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
-    return total
+        x = F.col(f"{a}{p}").bitwiseXOR(F.col(f"{b}{p}")) + F.lit(0x007F7F7F7F7F7F7F)
+        differ = differ + F.bit_count(x.bitwiseAND(F.lit(0x0080808080808080)))
+    return F.lit(COORDS) - differ
 
 
 def _prefixed(df: DataFrame, prefix: str, keep: list[str]) -> DataFrame:
@@ -200,7 +210,7 @@ def _shared(sets: DataFrame) -> DataFrame:
 
     def count(t, answers):
         if not t.num_rows:
-            return pa.table({"c": pa.array([], pa.int64()), "shared": pa.array([], pa.int64())})
+            return pa.table({k: pa.array([], pa.int64()) for k in ("c", "shared")})
         blobs = t.column("set").to_pylist()
         flat = np.frombuffer(b"".join(blobs), np.uint64)
         keys = np.unique(flat)
