@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import running_sums
 
-MAX_LABELS = 10_000
-
 
 def _small():
     """Whole-table window for per-label tables (one row per label)."""
@@ -31,17 +29,11 @@ def _labels(cc: DataFrame) -> DataFrame:
 
 def confusion_matrix(pred: DataFrame, y: str = "y_true", yhat: str = "prediction") -> DataFrame:
     """All (true, predicted) label pairs over the sorted label union, zero-filled.
-    The label x label grid is built from the small label table."""
+    The label x label grid is a product of the distinct labels with themselves."""
     cc = confusion_counts(pred, y, yhat).cache()
-    labels = [r["label"] for r in _labels(cc).limit(MAX_LABELS + 1).collect()]
-    if len(labels) > MAX_LABELS:
-        raise ValueError("too many labels for a dense confusion matrix; use confusion_counts")
-    grid = _labels(cc).select(
-        F.col("label").alias("y_true"), F.explode(F.array(*[F.lit(v) for v in sorted(labels)])).alias("y_pred")
-    )
-    return grid.join(cc, ["y_true", "y_pred"], "left").select(
-        "y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
-    )
+    labels = _labels(cc)
+    grid = labels.select(F.col("label").alias("y_true")).crossJoin(labels.select(F.col("label").alias("y_pred")))
+    return grid.withColumn("n", F.lit(0).cast("bigint")).unionByName(cc).groupBy("y_true", "y_pred").agg(F.sum("n").alias("n"))
 
 
 def per_class_counts(pred: DataFrame, y: str = "y_true", yhat: str = "prediction") -> DataFrame:

@@ -1,6 +1,6 @@
 """Internal cluster quality: count, inertia, silhouette (exact / sampled /
 squared), Calinski-Harabasz and Davies-Bouldin. Centroid work is one
-``groupBy(cluster)`` per pass; only k x d centroids reach the driver."""
+``groupBy(cluster)`` per pass; centroid tables reach the driver only below ``BROADCAST_CELLS``."""
 
 from __future__ import annotations
 
@@ -11,9 +11,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pairs import DEFAULT_BLOCK_ROWS, cluster_distance_sums
+from ..session import cut_lineage
+from .pairs import DEFAULT_BLOCK_ROWS, block_join, cluster_distance_sums
 
-MAX_CENTROIDS = 100_000
+#: Numbers of a centroid table that goes to every task; a larger one is joined by shuffle.
+BROADCAST_CELLS = 1_000_000
 
 
 def _dims(df: DataFrame, vec: str) -> int:
@@ -41,56 +43,68 @@ def inertia(df: DataFrame, vec: str = "vec", cluster: str = "cluster") -> DataFr
     return g.agg(F.coalesce(F.sum(total), F.lit(0.0)).alias("inertia"))
 
 
-def _centroid_table(df: DataFrame, vec: str, cluster: str, d: int):
-    rows = centroids(df, vec, cluster, d).limit(MAX_CENTROIDS + 1).collect()
-    if len(rows) > MAX_CENTROIDS:
-        raise ValueError("too many clusters for a broadcast centroid table")
-    rows = sorted(rows, key=lambda r: r["cluster"])
-    labs = [r["cluster"] for r in rows]
-    cnt = np.array([r["n"] for r in rows], dtype=np.float64)
-    cen = np.array([[r[f"m{i}"] for i in range(d)] for r in rows], dtype=np.float64)
-    return labs, cnt, cen
+def _few(k: int, d: int) -> bool:
+    """A table of k centroids may be broadcast."""
+    return k * d <= BROADCAST_CELLS
 
 
 def calinski_harabasz(df: DataFrame, vec: str = "vec", cluster: str = "cluster") -> DataFrame:
-    """Q4: [tr(B)/(k-1)] / [tr(W)/(n-k)], 1.0 when W = 0; noise is a cluster."""
+    """Q4: [tr(B)/(k-1)] / [tr(W)/(n-k)], 1.0 when W = 0; noise is a cluster.
+    Aggregates of the per-cluster table; only sums over it reach the driver."""
     spark = df.sparkSession
     d = _dims(df, vec)
-    labs, cnt, cen = _centroid_table(df, vec, cluster, d)
-    n, k = cnt.sum(), len(labs)
-    w = df.groupBy(cluster).agg(*[(F.var_pop(F.col(vec)[i]) * F.count(F.lit(1))).alias(f"w{i}") for i in range(d)])
-    tw = w.agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(d)]).first()
-    trw = float(sum(tw[f"w{i}"] for i in range(d)))
-    mean = (cen * cnt[:, None]).sum(axis=0) / n
-    trb = float((cnt * ((cen - mean) ** 2).sum(axis=1)).sum())
+    per = cut_lineage(df.groupBy(cluster).agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(d)],
+        *[(F.var_pop(F.col(vec)[i]) * F.count(F.lit(1))).alias(f"w{i}") for i in range(d)]))
+    t = per.agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"),
+                *[F.sum(F.col("n") * F.col(f"m{i}")).alias(f"m{i}") for i in range(d)],
+                *[F.sum(f"w{i}").alias(f"w{i}") for i in range(d)]).first()
+    n, k = t["n"], t["k"]
     if k < 2 or k >= n:
         val = None
     else:
+        trw = float(sum(t[f"w{i}"] for i in range(d)))
+        off = [F.col(f"m{i}") - F.lit(t[f"m{i}"] / n) for i in range(d)]
+        trb = per.agg(F.sum(F.col("n") * sum((o * o for o in off[1:]), off[0] * off[0])).alias("b")).first()["b"]
         val = 1.0 if trw == 0 else float((trb / (k - 1)) / (trw / (n - k)))
     return spark.createDataFrame([(val,)], "calinski_harabasz double")
 
 
-def davies_bouldin(df: DataFrame, vec: str = "vec", cluster: str = "cluster") -> DataFrame:
+def davies_bouldin(df: DataFrame, vec: str = "vec", cluster: str = "cluster",
+                   block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Q5: mean over clusters of max_j (s_i + s_j) / d(c_i, c_j), s = mean
-    distance of members to their centroid; noise is a cluster."""
+    distance of members to their centroid; noise is a cluster. Rows are joined
+    to the centroid table by cluster; a block join of that table with itself
+    gives the maxima, so any number of clusters fits."""
     spark = df.sparkSession
     d = _dims(df, vec)
-    labs, cnt, cen = _centroid_table(df, vec, cluster, d)
-    k = len(labs)
+    # stored: both sides of the block join must see the same last bits
+    cen = cut_lineage(centroids(df, vec, cluster, d).select(
+        F.col("cluster").alias("id"), F.array(*[F.col(f"m{i}") for i in range(d)]).alias("c")))
+    k = cen.count()
     if k < 2:
         return spark.createDataFrame([(None,)], "davies_bouldin double")
-    lit_c = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in cen])
-    idx = F.array_position(F.array(*[F.lit(v) for v in labs]), F.col(cluster)).cast("int")
-    c_own = F.element_at(lit_c, idx)
-    dist = F.sqrt(F.aggregate(F.zip_with(F.col(vec), c_own, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
-    s_rows = df.groupBy(cluster).agg(F.avg(dist).alias("s")).collect()
-    s_map = {r[cluster]: r["s"] for r in s_rows}
-    s = np.array([s_map[l_] for l_ in labs])
-    cd = np.sqrt(((cen[:, None, :] - cen[None, :, :]) ** 2).sum(axis=2))
-    cd[cd == 0] = np.inf  # coincident centroids (and the diagonal) score 0
-    r = (s[:, None] + s[None, :]) / cd
-    val = float(np.mean(np.max(r, axis=1)))
-    return spark.createDataFrame([(val,)], "davies_bouldin double")
+    rows = df.select(F.col(cluster).alias("__own"), F.col(vec).alias("__x"))
+    j = rows.join(F.broadcast(cen) if _few(k, d) else cen, F.col("__own").eqNullSafe(F.col("id")))
+    dist = F.sqrt(F.aggregate(F.zip_with("__x", "c", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v))
+    s = j.groupBy("__own").agg(F.avg(dist).alias("lab"))
+    c = cut_lineage(cen.join(s, F.col("id").eqNullSafe(F.col("__own"))).select("id", F.col("c").alias("vec"), "lab"))
+
+    def kernel(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) == 0:
+            return pd.DataFrame({"id": [], "r": []})
+        a, b = np.stack(qp["vec"].to_numpy()), np.stack(bp["vec"].to_numpy())
+        d2 = np.zeros((len(a), len(b)))
+        for i in range(a.shape[1]):
+            d2 += (a[:, i, None] - b[None, :, i]) ** 2
+        cd = np.sqrt(d2)
+        cd[cd == 0] = np.inf  # coincident centroids (and the diagonal) score 0
+        r = (qp["lab"].to_numpy()[:, None] + bp["lab"].to_numpy()[None, :]) / cd
+        return pd.DataFrame({"id": qp["id"].to_numpy(), "r": r.max(axis=1)})
+
+    part = block_join(c, c, kernel, f"id {dict(c.dtypes)['id']}, r double", block_rows, k, k)
+    return part.groupBy("id").agg(F.max("r").alias("r")).agg(
+        F.avg(F.coalesce("r", F.lit(float("nan")))).alias("davies_bouldin"))
 
 
 def silhouette_rows(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str = "cluster",
@@ -126,7 +140,7 @@ def silhouette(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str
     if not (2 <= k_n["k"] < k_n["n"]):
         return spark.createDataFrame([(None, mode)], "silhouette double, mode string")
     if mode == "squared":
-        return _silhouette_squared(df, vec, cluster)
+        return _silhouette_squared(df, id_col, vec, cluster, block_rows)
     if mode == "exact":
         rows = silhouette_rows(df, id_col, vec, cluster, block_rows)
     elif mode == "sample":
@@ -138,20 +152,38 @@ def silhouette(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str
     return rows.agg(F.avg("silhouette").alias("silhouette")).withColumn("mode", F.lit(mode))
 
 
-def _silhouette_squared(df: DataFrame, vec: str, cluster: str) -> DataFrame:
+def _squared_parts(x: np.ndarray, own: np.ndarray, mean: np.ndarray, q: np.ndarray, n: np.ndarray):
+    """(own mean squared distance without the row itself, least one of the other
+    clusters) of each row against one list of clusters; ``own`` is the row's
+    place in it or -1. NaN / inf where the list does not hold it."""
+    m = (x * x).sum(1)[:, None] - 2 * x @ mean.T + q  # mean squared distance to every cluster
+    at = np.flatnonzero(own >= 0)
+    o = own[at]
+    a = np.full(len(x), np.nan)
+    a[at] = m[at, o] * n[o] / np.maximum(n[o] - 1, 1)
+    m[at, o] = np.inf
+    return a, m.min(1)
+
+
+def _silhouette_squared(df: DataFrame, id_col: str, vec: str, cluster: str,
+                        block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Squared-euclidean silhouette in closed form: mean squared distance from
-    x to cluster C = ||x||^2 - 2 x.mu_C + mean_C ||y||^2."""
+    x to cluster C = ||x||^2 - 2 x.mu_C + mean_C ||y||^2. A cluster table of
+    bounded size goes with the tasks, a larger one meets the rows in a block join."""
     d = _dims(df, vec)
-    g = df.groupBy(F.col(cluster).alias("c")).agg(
+    g = cut_lineage(df.groupBy(F.col(cluster).alias("c")).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.avg(F.col(vec)[i]).alias(f"m{i}") for i in range(d)],
         F.avg(F.aggregate(F.col(vec), F.lit(0.0), lambda s, v: s + v * v)).alias("q"),
-    ).collect()
-    if len(g) > MAX_CENTROIDS:
-        raise ValueError("too many clusters")
+    ))
+    k = g.count()
+    if not _few(k, d):
+        return _silhouette_squared_join(df, id_col, vec, cluster, g, k, d, block_rows)
+    g = g.collect()
     place = {r["c"]: i for i, r in enumerate(g)}
     mean = np.array([[r[f"m{i}"] for i in range(d)] for r in g], np.float64)
     q, n = np.array([r["q"] for r in g], np.float64), np.array([r["n"] for r in g], np.float64)
+    step = max(1, block_rows * block_rows // k)  # bounds the rows x clusters matrix
 
     @F.pandas_udf("double")
     def rows(v: pd.Series, c: pd.Series) -> pd.Series:
@@ -159,17 +191,40 @@ def _silhouette_squared(df: DataFrame, vec: str, cluster: str) -> DataFrame:
             return pd.Series([], dtype=float)
         x = np.array(v.tolist(), np.float64)
         own = c.map(place).to_numpy()
-        at = np.arange(len(x))
-        m = (x * x).sum(1)[:, None] - 2 * x @ mean.T + q  # mean squared distance to every cluster
-        a = m[at, own] * n[own] / np.maximum(n[own] - 1, 1)
-        m[at, own] = np.inf
-        b = m.min(1)
+        parts = [_squared_parts(x[i:i + step], own[i:i + step], mean, q, n) for i in range(0, len(x), step)]
+        a, b = (np.concatenate(p) for p in zip(*parts))
         return pd.Series(np.where(n[own] <= 1, 0.0, (b - a) / np.maximum(a, b)))
 
     return df.select(
         rows(F.col(vec), F.col(cluster)).alias("s")).agg(F.avg("s").alias("silhouette")).withColumn("mode", F.lit("squared"))
 
 
+def _silhouette_squared_join(df: DataFrame, id_col: str, vec: str, cluster: str, g: DataFrame, k: int, d: int,
+                             block_rows: int) -> DataFrame:
+    """The same with the cluster table dealt into blocks: a row meets every block
+    and keeps its own cluster's part and the least of the others."""
+    x = df.select(F.col(id_col).cast("string").alias("id"), F.col(vec).cast("array<double>").alias("vec"),
+                  F.col(cluster).cast("string").alias("lab"))
+    base = g.select(F.col("c").cast("string").alias("id"),
+                    F.array(*[F.col(f"m{i}") for i in range(d)], "q", F.col("n").cast("double")).alias("vec"),
+                    F.lit(None).cast("string").alias("lab"))
+
+    def kernel(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
+        if len(qp) == 0 or len(bp) == 0:
+            return pd.DataFrame({"id": [], "a": [], "na": [], "b": []})
+        v, c = np.stack(qp["vec"].to_numpy()), np.stack(bp["vec"].to_numpy())
+        mean, q, n = c[:, :d], c[:, d], c[:, d + 1]
+        place = {key: i for i, key in enumerate(bp["id"])}
+        own = np.array([place.get(key, -1) for key in qp["lab"]])
+        a, b = _squared_parts(v, own, mean, q, n)
+        return pd.DataFrame({"id": qp["id"], "a": a, "na": np.where(own >= 0, n[own], np.nan), "b": b})
+
+    part = block_join(x, base, kernel, "id string, a double, na double, b double", block_rows, n_base=k)
+    per = part.groupBy("id").agg(F.max("a").alias("a"), F.max("na").alias("na"), F.min("b").alias("b"))
+    sil = F.when(F.col("na") <= 1, F.lit(0.0)).otherwise(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")))
+    return per.agg(F.avg(F.coalesce(sil, F.lit(float("nan")))).alias("silhouette")).withColumn("mode", F.lit("squared"))
+
+
 def cluster_metrics(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str = "cluster",
                     silhouette_mode: str = "exact") -> DataFrame:
     """Q6: all four metrics in one row (null when k is too small)."""

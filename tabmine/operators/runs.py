@@ -12,8 +12,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import cut_lineage
 
-MAX_CLUSTERS = 100_000
 RUN_SCHEMA = (
     "run_id string, algo string, params map<string,string>, dataset string, features array<string>, "
     "silhouette double, calinski_harabasz double, davies_bouldin double, inertia double, "
@@ -41,16 +43,17 @@ def run_record(spark: SparkSession, n: int, algo: str, params: Mapping, dataset:
                ts: _dt.datetime | None = None) -> DataFrame:
     """One run row built from a labels frame and a one-row metrics frame
     (all computed by Spark from the data)."""
-    sizes = {r["c"]: int(r["n"]) for r in labels.groupBy(F.col(cluster).cast("string").alias("c")).agg(
-        F.count(F.lit(1)).alias("n")).limit(MAX_CLUSTERS + 1).collect()}
-    if len(sizes) > MAX_CLUSTERS:
-        raise ValueError("too many clusters for a run record")
+    size = labels.groupBy(F.col(cluster).cast("string").alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    # one row, built and kept on the executors whatever the number of clusters
+    sizes = cut_lineage(size.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("c", "n")))).alias("cluster_sizes"),
+                                 F.count_if(F.col("c") != "-1").alias("n_clusters")))
     m = metrics.first()
     vals = [None if m[c] is None else float(m[c]) for c in ("silhouette", "calinski_harabasz", "davies_bouldin", "inertia")]
     ts = ts or _dt.datetime.now(_dt.timezone.utc)
-    row = (run_id(n, algo, params, auto), algo, {k: str(v) for k, v in params.items()}, dataset, list(features),
-           *vals, sizes, sum(1 for c in sizes if c != "-1"), ts)
-    return spark.createDataFrame([row], RUN_SCHEMA)
+    row = (run_id(n, algo, params, auto), algo, {k: str(v) for k, v in params.items()}, dataset, list(features), *vals, ts)
+    schema = T.StructType.fromDDL(RUN_SCHEMA)
+    known = T.StructType([f for f in schema.fields if f.name not in sizes.columns])
+    return spark.createDataFrame([row], known).crossJoin(sizes).select(*schema.names)
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
