@@ -168,12 +168,13 @@ def _lbfgs(fun, x: np.ndarray, steps: int, memory: int = 6) -> np.ndarray:
 
 
 def fit(labelled: DataFrame, steps: int = 12) -> Field:
-    """Field of `labelled` (text, y): rows that the caller has bounded. Without any row of either kind the score is constant."""
+    """Field of `labelled` (text, y): rows that the caller has bounded. Without any row of either kind the score is
+    constant and below THRESHOLD: nothing tells toxic from clean, so nothing is flagged."""
     rows = stored(labelled.select(F.col("text").cast("string").alias("text"), F.col("y").cast("int").alias("y")).repartition(int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "fit")
     n, n1 = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not n1 or n1 == n:
-        base = float(_logit(np.array([(n1 + 0.5) / (n + 1)]))[0])
-        return Field(np.zeros(N), 0.0, np.zeros((2, 2)), 0.0, base)
+        base = float(_logit(np.array([min((n1 + 0.5) / (n + 1), THRESHOLD / 2)]))[0])
+        return Field(np.zeros(N), base, np.zeros((2, 2)), 0.0, base)
 
     def frequencies(batches):
         df = np.zeros((2, N))
