@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, mixing, near_dup, ngram_lm, phrases, substrings, token_files, topk, toxicity
+from . import decontaminate, dual_tree, filter_audit, grace, langid, mixing, near_dup, ngram_lm, phrases, substrings, token_files, topk, toxicity
 from .common import SPACE_WORD, table
 
 
@@ -51,6 +51,18 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
 
 
+def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op12_grace_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return grace.exact_duplicates(table(spark, sf, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return dual_tree.vector_codes(table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -64,6 +76,9 @@ QUERIES = {
         op8_language,
         op9_suffix_dedup,
         op10_lm_scoring,
+        op11_filter_audit,
+        op12_grace_dedup,
+        op13_vector_codes,
     )
 }
 
@@ -190,6 +205,73 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT
 FROM d LEFT JOIN k ON k.rid = d.rid
 """
 
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{SPACE_WORD}') AS ws, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS e FROM d),
+l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(ws) < 50)::INT + 2 * (100 * len(list_distinct(ws)) < 65 * len(ws))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * e::INT AS bits
+  FROM w LEFT JOIN l USING (doc_id)),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) x(f, b)),
+o AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order, [0, a.b, a.b + b.b, a.b + b.b + c.b, a.b + b.b + c.b + d.b] AS before, [a.b, b.b, c.b, d.b, e.b] AS own
+  FROM f a, f b, f c, f d, f e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND len(list_distinct([a.b, b.b, c.b, d.b, e.b])) = 5),
+s AS (SELECT filter_order, step, before[step] AS before, own[step] AS own FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+c AS (SELECT part, bits, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, bits),
+r AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN bits & (before | own) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN bits & before = 0 AND bits & own > 0 THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN bits & before > 0 AND bits & own > 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN bits = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN bits & before = 0 AND bits & own > 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN bits & before = 0 AND bits & own > 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM c CROSS JOIN s GROUP BY part, filter_order, step, own),
+v AS (SELECT part, own, sum(removed)::BIGINT AS shapley FROM r GROUP BY part, own)
+SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley FROM r JOIN v USING (part, own)
+"""
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST, rid) = 1 AS kept, sha256(t) AS text_sha256
+FROM d WINDOW g AS (PARTITION BY t)
+"""
+
+
+def _op13_sql() -> str:
+    """The rounds written out, one pair of tables a round."""
+    k, parts = dual_tree.ENTRIES, dual_tree.PARTS
+    ctes = [
+        f"""v AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, list_transform(embedding, lambda x: floor({dual_tree.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""p AS MATERIALIZED (
+  SELECT rid, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v
+  FROM (SELECT rid, v, unnest(range({parts})) AS p FROM v WHERE len(v) = (SELECT len(v) FROM v WHERE rid = 1)))""",
+        f"c0 AS MATERIALIZED (SELECT p, rid - 1 AS e, v AS c FROM p WHERE rid <= {k})",
+    ]
+    for r in range(dual_tree.ROUNDS + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (
+  SELECT rid, p, any_value(v) AS v, min((s, e)) AS best FROM (
+    SELECT p.rid, p.p, p.v, c.e, coalesce(list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - c.c[i]) * (p.v[i] - c.c[i]))), 0)::BIGINT AS s
+    FROM p JOIN c{r} c ON c.p = p.p) GROUP BY rid, p)""")
+        if r < dual_tree.ROUNDS:
+            ctes.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN (
+    SELECT p, e, list(floor(s::DOUBLE / n)::BIGINT ORDER BY i) AS c FROM (
+      SELECT p, best[2] AS e, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM (SELECT p, best, v, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY p, e, i)
+    GROUP BY p, e) m ON m.p = c.p AND m.e = c.e)""")
+    last = f"a{dual_tree.ROUNDS}"
+    ctes.append(f"x AS (SELECT rid, string_agg(printf('%02x', best[2]), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM {last} GROUP BY rid)")
+    ctes.append(f"h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c{dual_tree.ROUNDS})")
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM x JOIN v USING (rid) CROSS JOIN h
+"""
+
+
+OP13_SQL = _op13_sql()
+
 SQL = {
     "op2_near_duplicates": OP2_SQL,
     "op3_mixing": OP3_SQL,
@@ -197,4 +279,7 @@ SQL = {
     "op6_decontamination": OP6_SQL,
     "op7_pivot_top_k": OP7_SQL,
     "op10_lm_scoring": OP10_SQL,
+    "op11_filter_audit": OP11_SQL,
+    "op12_grace_dedup": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
 }
