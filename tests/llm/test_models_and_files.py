@@ -1,6 +1,7 @@
 """Token files, mixing, toxicity, language, exact top-k."""
 
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -17,12 +18,11 @@ def direct_ids(texts):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(token_files.vocabulary_path())
-    tok.encode_special_tokens = True
     return [np.array([*e.ids, 2], "<u4") for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 def test_encoder_equals_the_library():
-    odd = ["", " ", "a  b", " lead", "trail ", "x\n y", "x \ny", "don't we'll 's", "a\xa0b c　 d", "tab\t x", "<|endoftext|> hi<|endoftext|>", "end. . ,", "a1, b2. 3. é, ß!",
+    odd = ["", " ", "a  b", " lead", "trail ", "x\n y", "x \ny", "don't we'll 's", "a\xa0b c　 d", "tab\t x", "<|endoftext|> hi<|endoftext|>", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\ny  <|endoftext", "|>", "end. . ,", "a1, b2. 3. é, ß!",
            "x\ny", "a b.\nC d, e\n\nf g\n h", "end.\n", "\nstart here", "q\n, r.\n. s\n1 2\n3", "w.\n\n.x y\nz", "a​ b ​ c", "漢字, 仮名。 a", "x, 've", "..,, a", "word's' it'' ''s", "a'' ''b '. x'll'", "(a) [b]} c$$$ d%,.", "a'\ns it's\n've", "\x1c a \x1f"]
     texts = odd + [t or "" for _, t in [(r[0], r[1]) for r in messy.rows()]]
     enc = token_files.Encoder(token_files.vocabulary_path())
@@ -189,6 +189,24 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [3e5, 1e10, 1e300])
+def test_top_k_of_large_components(spark, monkeypatch, size):
+    """Scores are exact at any size; beyond a long the score is null, the order still that of the exact scores."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 50)
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(120, 6)) * size).tolist()
+    x[7], x[11] = x[5], [v + 1 for v in x[5]]
+    rows = [(k * 50, v, 1, 2, 3) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, v int, pd int, start int")
+    whole = [[int(Fraction(c) * 1024 // 1) for c in v] for v in x]
+    want = []
+    for q in range(0, 120, 2):
+        s = [sum(a * b for a, b in zip(whole[q], v)) for v in whole]
+        order = sorted((i for i in range(120) if i != q), key=lambda i: (-s[i], i))[:10]
+        want += [(q * 50, r, i * 50, s[i] if -(2**63) <= s[i] < 2**63 else None) for r, i in enumerate(order, 1)]
+    assert messy.got(topk.top_k(df), "query_id", "rank", "vec_id", "score") == sorted(want, key=repr)
+
+
 def test_bounds_leave_rows_out():
     """On clustered vectors the pivots stop the evaluation early, with the same result."""
     rng = np.random.default_rng(9)
@@ -200,4 +218,4 @@ def test_bounds_leave_rows_out():
     (best,), looked = topk._evaluate(x[:1], ids[:1], d[:1], x, ids, d, 10, np.full(1, -np.inf))
     s = x @ x[0]
     order = [i for i in np.lexsort([ids, -s]) if i != 0][:10]
-    assert best[1].tolist() == order and looked < 2500
+    assert best[1].tolist() == order and best[0].tolist() == s[order].tolist() and looked < 2500
