@@ -2,7 +2,11 @@
 
 Stages, in order: toxicity (documents that are predicted toxic go), near duplicates (one document of each group stays),
 benchmark decontamination (benchmark passages go, and documents mostly made of them), mixing to target weights (a document
-appears as often as its copies say), token files (what the files hold, one row per written document)."""
+appears as often as its copies say), token files (what the files hold, one row per written document).
+
+In every stage a null text counts as empty: it is not toxic, near no other text, without benchmark words, of size 0 (so
+the mix takes no copy of it). Rows that repeat a doc_id are each a row. Of ties the smallest doc_id stays. An empty table
+stays empty. Further columns pass through, whatever their names."""
 
 from __future__ import annotations
 
@@ -12,24 +16,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabmine.llm import decontaminate, mixing, near_dup, token_files, toxicity
-from tabmine.llm.common import stored, table
+from tabmine.llm.common import shielded, stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity score under the threshold. The field is fitted on labelled rows of the stage's own input."""
-    field = toxicity.fit_on(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, field).where(F.col("__score") < toxicity.THRESHOLD).select(*docs.columns)
+    inner = shielded(docs, "doc_id", "text")
+    field = toxicity.fit_on(inner, table(spark, sf_dir, "labels"))
+    return toxicity.score(inner, field).where(F.col("__score") < toxicity.THRESHOLD).select(*inner.columns).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest doc_id of each group linked by five-word shingles at a similarity of 0.8 or more;
     of rows that repeat one doc_id and set, each stays, as they are one document."""
-    gone = near_dup.near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
+    inner = shielded(docs, "doc_id", "text")
+    gone = near_dup.near_duplicates(inner).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     gone = stored(gone, "gone")
     known = F.broadcast(gone) if gone.count() <= near_dup.SENT_IDS else gone
-    return docs.join(known, F.col("doc_id") == F.col("__gone"), "left_anti").select(*docs.columns)
+    return inner.join(known, F.col("doc_id") == F.col("__gone"), "left_anti").select(*inner.columns).toDF(*docs.columns)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,6 +74,12 @@ def tidy(run: Callable) -> Callable:
     return inner
 
 
+def shielded(docs: DataFrame, *known: str) -> DataFrame:
+    """`docs` with every column but the `known` ones under a private name, so that no name of a user's column meets one
+    that an operator adds. Give the names back with toDF(*docs.columns)."""
+    return docs.toDF(*[c if c in known else f"column {k}" for k, c in enumerate(docs.columns)])
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM, LOWER, slices, spans, stored, tidy, utf8, word_hashes
+from .common import ALNUM, LOWER, shielded, slices, spans, stored, tidy, utf8, word_hashes
 
 #: Item words of one automaton (about 1 KB each in a task).
 MAX_ITEM_WORDS = 50_000
@@ -288,5 +288,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
 def remove_hits(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_coverage: float = 0.5) -> DataFrame:
     """The documents without benchmark passages: hit words go (with the bytes up to the next kept word), and a document
     with more than `max_coverage` of its words hit goes whole. Other columns stay; a column n_chars follows a changed text.
-    Clean documents are returned unchanged, null texts too."""
-    return locate(docs, benchmark, window, docs.columns, max_coverage).select(*docs.columns)
+    Clean documents are returned unchanged, null texts too. Columns beside text and n_chars may have any name. An empty
+    table gives no rows, an empty benchmark all of them."""
+    inner = shielded(docs, "text", "n_chars")
+    return locate(inner, benchmark, window, inner.columns, max_coverage).select(*inner.columns).toDF(*docs.columns)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE_WORD, stored
+from .common import SPACE_WORD, shielded, stored
 
 #: No source's target, and no document's copies, exceed this many times its size.
 MAX_REPEATS = 3
@@ -124,10 +124,10 @@ def mix(docs: DataFrame) -> DataFrame:
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix: each row of `docs` as often as its copies say (0 to MAX_REPEATS), same columns."""
-    names = docs.columns
-    rows = stored(docs.withColumn("__rid", F.monotonically_increasing_id()), "mix-input")
+    """The documents of the mix: each row of `docs` as often as its copies say (0 to MAX_REPEATS), same columns, whatever
+    the names of those beside doc_id, text and source. Nulls, ties and empty tables as in mix()."""
+    rows = stored(shielded(docs, "doc_id", "text", "source").withColumn("__rid", F.monotonically_increasing_id()), "mix-input")
     small = sized(rows.select(F.col("__rid").alias("rid"), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text")).drop("text")
     taken = copies(stored(small, "sizes")).where("copies > 0").select(F.col("rid").alias("__rid"), F.col("copies").cast("int").alias("__copies"))
     out = rows.join(taken, "__rid").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
-    return out.select(*names)
+    return out.drop("__rid", "__copies", "__copy").toDF(*docs.columns)

@@ -259,7 +259,8 @@ def fit(labelled: DataFrame, steps: int = 12) -> Field:
 
 
 def score(docs: DataFrame, field: Field) -> DataFrame:
-    """`docs` with columns __score (0 to 1) and __spans (array of byte starts and ends of toxic token runs, in UTF-8)."""
+    """`docs` with columns __score (0 to 1) and __spans (array of byte starts and ends of toxic token runs, in UTF-8),
+    names that `docs` must not have (see common.shielded)."""
     at = docs.columns.index("text")
     names = docs.columns
 
@@ -303,7 +304,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Field:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted and the toxic spans of each row of `docs` (doc_id, text). Null and empty texts
-    have no tokens and get the score of a highest marginal of 0. Repeated rows are scored alike."""
+    have no tokens and get the score of a highest marginal of 0. Repeated rows are scored alike. Other columns are not read.
+    An empty table gives no rows."""
     field = fit_on(docs, labels)
     out = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), field)
     return out.select("doc_id", held_out().alias("held_out"), F.col("__score").alias("score"), (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"), F.col("__spans").alias("spans"))
