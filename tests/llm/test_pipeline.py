@@ -18,25 +18,15 @@ def folder(spark, tmp_path_factory):
     return d
 
 
-def test_stages_keep_the_columns(spark, folder):
+def test_stages_keep_the_columns_whatever_their_names(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for c in ("__score", "__spans", "__gone", "__rid", "__copies", "__copy", "__n_words", "__hits", "__items", "y", "part"):
+        docs = docs.withColumn(c, F.col("doc_id"))
     start = docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, folder)
         assert docs.columns == start, name
-
-
-def test_stages_take_any_column_names(spark, folder):
-    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
-    odd = docs
-    for c in ("__score", "__spans", "__gone", "__rid", "__copies", "__copy", "__n_words", "__hits", "__items", "y", "part"):
-        odd = odd.withColumn(c, F.col("doc_id"))
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        want, docs, before = stage(spark, docs, folder), stage(spark, odd, folder), odd.columns
-        assert docs.columns == before, name
-        assert sorted(map(repr, docs.select(want.columns).collect())) == sorted(map(repr, want.collect())), name
-        assert docs.where("not (__score <=> doc_id and __rid <=> doc_id and __items <=> doc_id)").count() == 0
-        docs, odd = want, docs
+        assert docs.where("not (__score <=> doc_id and __rid <=> doc_id and __items <=> doc_id and __gone <=> doc_id)").count() == 0, name
 
 
 def test_pipeline(spark, folder):
