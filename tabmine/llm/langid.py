@@ -1,9 +1,9 @@
 """Language identification with hyperdimensional profiles.
 
-Every letter has a random vector of +1/-1. An n-gram of letters is bound by multiplying the vectors of its letters, each
+Every letter, of any alphabet, has a random vector of +1/-1, drawn from its code point. An n-gram of letters is bound by multiplying the vectors of its letters, each
 permuted (rolled) by its place; a text bundles (adds) the vectors of its n-grams; a language's prototype is the bundle of
 its training texts, each with equal weight. A text gets the language whose prototype has the highest cosine with its own
-vector. The n-gram counts of a slice of texts are one matrix, multiplied with the matrix of the n-grams' vectors."""
+vector. The n-gram counts of a slice of texts are matrices, multiplied with the matrices of the n-grams' vectors."""
 
 from __future__ import annotations
 
@@ -12,75 +12,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, tidy
+from .common import mix, slices, tidy
 
 DIM = 1024
-#: Letter codes: 0 stands for all between words, 1-26 for a-z, the rest for the other letters by a hash of the code point.
-CODES = 128
-_ROWS = 128  # texts of one count matrix
+_ROWS = 128  # texts of one slice
+_GRAMS = 8192  # n-grams of one count matrix
 _STATE: dict[str, np.ndarray] = {}
 
 
 def letter_codes() -> np.ndarray:
-    """Code of every code point, after lower-casing."""
+    """Letter of every code point: the code point of its lower case, 0 (the blank) for all that is no letter."""
     if "codes" not in _STATE:
-        cp = np.arange(0x110000, dtype=np.int64)
-        letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
-        codes = np.where(letter, 27 + (cp * 2654435761 >> 7) % (CODES - 27), 0).astype(np.int64)
-        codes[ord("a") : ord("z") + 1] = np.arange(1, 27)
-        low = np.arange(0x110000)
-        for c in np.flatnonzero(letter):
-            s = chr(c).lower()
-            if len(s) == 1:
-                low[c] = ord(s)
-        _STATE["codes"] = codes[low].astype(np.int32)
+        codes = np.zeros(0x110000, np.int64)
+        for c in range(0x110000):
+            if chr(c).isalpha():
+                s = chr(c).lower()
+                codes[c] = ord(s) if len(s) == 1 else c
+        _STATE["codes"] = codes
     return _STATE["codes"]
 
 
-def letter_vectors(dim: int = DIM) -> np.ndarray:
-    return np.random.default_rng(7).integers(0, 2, (CODES, dim)).astype(np.float32) * 2 - 1
+def letter_vectors(letters: np.ndarray, dim: int = DIM) -> np.ndarray:
+    """A row of +1/-1 per letter, drawn from its whole code point: no two letters share their bits."""
+    words = -(-dim // 64)
+    seed = letters.astype(np.uint64)[:, None] * np.uint64(words) + np.arange(words, dtype=np.uint64)
+    bits = np.unpackbits(mix(mix(seed + np.uint64(1))).view(np.uint8), axis=1)[:, :dim]
+    return bits.astype(np.int8) * np.int8(2) - np.int8(1)
 
 
 def gram_vectors(grams: np.ndarray, dim: int = DIM) -> np.ndarray:
-    """One row per trigram code (a * CODES + b) * CODES + c: rho^2(a) * rho(b) * c."""
-    v = letter_vectors(dim)
-    v1, v2 = np.roll(v, 1, 1), np.roll(v, 2, 1)
-    return v2[grams // (CODES * CODES)] * v1[grams // CODES % CODES] * v[grams % CODES]
+    """One row per trigram code, 21 bits a letter: rho^2(a) * rho(b) * c."""
+    letters, at = np.unique(np.concatenate([grams >> 42, grams >> 21 & 0x1FFFFF, grams & 0x1FFFFF]), return_inverse=True)
+    a, b, c = at.reshape(3, -1)
+    v = letter_vectors(letters, dim)
+    return (np.roll(v, 2, 1)[a] * np.roll(v, 1, 1)[b] * v[c]).astype(np.float32)
 
 
-def gram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct trigram codes, count matrix: a row per text). Letters only, lower-cased; runs of anything else
-    are one blank, and a blank stands before and after every text."""
-    codes = letter_codes()
+def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the text, trigram code) of every letter with its neighbours. Letters only, lower-cased; runs of
+    anything else are one blank, and a blank stands before and after every text."""
     joined = "\n".join(texts)
     cp = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     off = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
-    k = np.concatenate([codes[cp], [0]]).astype(np.int32)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(off))
+    k = np.concatenate([letter_codes()[cp], [0]])
+    doc = np.repeat(np.arange(len(texts)), np.diff(off))
     keep = np.ones(len(k), bool)
     keep[1:] = (k[1:] > 0) | (k[:-1] > 0)
     k, doc = k[keep], doc[keep]
     before = np.concatenate([[0], k[:-2]])  # a blank before the first text; the others share the one between
     centre = k[:-1] > 0
-    gram = ((before[centre] * CODES + k[:-1][centre]) * CODES + k[1:][centre]).astype(np.int64)
-    row = doc[:-1][centre].astype(np.int64)
-    seen = np.zeros(CODES**3, bool)
-    seen[gram] = True
-    grams = np.flatnonzero(seen)
-    place = np.zeros(CODES**3, np.int32)
-    place[grams] = np.arange(len(grams))
-    m = np.bincount(row * len(grams) + place[gram], minlength=len(texts) * len(grams))
-    return grams, m.reshape(len(texts), len(grams)).astype(np.float32)
+    return doc[:-1][centre], before[centre] << 42 | k[:-1][centre] << 21 | k[1:][centre]
 
 
 def text_vectors(texts: list[str], dim: int = DIM) -> np.ndarray:
-    """A row per text: the bundle of its trigrams; zero without letters."""
+    """A row per text: the bundle of its trigrams; zero without letters. Distinct trigrams are bundled in blocks of
+    _GRAMS, so memory is bounded for any alphabet."""
     out = np.zeros((len(texts), dim), np.float32)
     if not texts:
         return out
-    grams, m = gram_counts(texts)
-    for i in range(0, len(grams), 8192):  # bounded memory for any alphabet
-        out += m[:, i : i + 8192] @ gram_vectors(grams[i : i + 8192], dim)
+    doc, gram = trigrams(texts)
+    order = np.argsort(gram, kind="stable")
+    doc, gram = doc[order], gram[order]
+    first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.zeros(0, np.int64)
+    ends = np.append(first, len(gram))
+    for i in range(0, len(first), _GRAMS):
+        n = min(_GRAMS, len(first) - i)
+        place = np.repeat(np.arange(n), np.diff(ends[i : i + n + 1]))
+        rows = doc[ends[i] : ends[i + n]]
+        m = np.bincount(rows * n + place, minlength=len(texts) * n).reshape(len(texts), n)
+        out += m.astype(np.float32) @ gram_vectors(gram[first[i : i + n]], dim)
     return out
 
 
@@ -146,6 +146,9 @@ def held_out(folds: int, fold: int):
 
 
 def language(docs: DataFrame, dim: int = DIM) -> DataFrame:
-    """doc_id, held_out, lang_pred, score; learned from the rows of `docs` that are not held out (crc32 mod 5 is not 0)."""
+    """doc_id, held_out, lang_pred, score of each row; learned from the rows of `docs` that are not held out (crc32 mod 5
+    is not 0). Null or letterless text: `und` and 0, and nothing is learned from it. A null doc_id is held out; repeated
+    rows are rows of their own; ties go to the first language by code point; texts of any length are read whole; other
+    columns are ignored; an empty table gives no rows."""
     langs, proto = fit(docs.where(~held_out(5, 0)), dim)
     return predict(docs, langs, proto if langs else np.zeros((0, dim))).select("doc_id", held_out(5, 0).alias("held_out"), "lang_pred", "score")

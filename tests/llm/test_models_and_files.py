@@ -161,13 +161,38 @@ def test_language(spark, nothing):
 
 
 def test_language_vectors_are_bundles():
-    v = langid.letter_vectors()
-    a, b = 1, 2  # the codes of a and b; 0 is the blank
-    want = np.roll(v[0], 2) * np.roll(v[a], 1) * v[b] + np.roll(v[a], 2) * np.roll(v[b], 1) * v[0]
+    blank, a, b = langid.letter_vectors(np.array([0, ord("a"), ord("b")])).astype(int)
+    want = np.roll(blank, 2) * np.roll(a, 1) * b + np.roll(a, 2) * np.roll(b, 1) * blank
     assert np.array_equal(langid.text_vectors(["AB", "x", "-"])[0], want)
     assert not langid.text_vectors(["", "1 2"]).any()
 
 
+def test_every_letter_has_its_own_vector(monkeypatch):
+    letters = np.unique(langid.letter_codes())
+    assert len(letters) > 130_000
+    packed = np.concatenate([np.packbits(langid.letter_vectors(x) > 0, axis=1) for x in np.array_split(letters, 40)])
+    assert len(np.unique(packed[:, :16], axis=0)) == len(letters)
+    for one, other in zip("аеийçśă漢か", "яєїјńźä字き"):
+        x, y = langid.text_vectors([one, other]).astype(int)
+        assert (x == y).mean() < 0.6
+    assert np.array_equal(*langid.text_vectors(["ЖÉ", "жé"]))
+    texts = ["漢字かな交じり文 " * 9, "", "words and more", "жук"]
+    whole = langid.text_vectors(texts)
+    monkeypatch.setattr(langid, "_GRAMS", 3)
+    assert np.array_equal(langid.text_vectors(texts), whole)
+
+
+def test_languages_that_share_most_letters(spark):
+    rng = np.random.default_rng(9)
+    base = "бвгдзклмнопрст"
+    letters = {"one": base + "аеи", "two": base + "яєї", "three": base + "ёэы"}
+    words = {g: ["".join(rng.choice(list(x), 5)) for _ in range(80)] for g, x in letters.items()}
+    docs = [(k, " ".join(rng.choice(words[g], 40)), g) for k, g in enumerate(list(letters) * 40)]
+    out = langid.language(spark.createDataFrame(docs, "doc_id long, text string, lang string")).collect()
+    truth = {k: g for k, _, g in docs}
+    assert all(r["lang_pred"] == truth[r["doc_id"]] for r in out)
+
+
 def test_top_k(spark, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", 70)
     monkeypatch.setattr(topk, "QUERY_ROWS", 4)
