@@ -266,9 +266,13 @@ def q5_db(spark, sf):
     return Qm.davies_bouldin(embeddings(spark, sf), "vec", "label").select(F.round("davies_bouldin", 4).alias("davies_bouldin"))
 
 
-@reg("q6_all")
+@reg("q6_all", f"""SELECT n_clusters, inertia, silhouette, calinski_harabasz, davies_bouldin
+FROM ({SQL["q1_k"]}) a, ({SQL["q2_inertia"]}) b, ({SQL["q3_sil_exact"]}) c, ({SQL["q4_ch"]}) d, ({SQL["q5_db"]}) e""")
 def q6_all(spark, sf):
-    return Qm.cluster_metrics(embeddings(spark, sf), "vec_id", "vec", "label")
+    """All four metrics in one row, rounded as in their own queries."""
+    m = Qm.cluster_metrics(embeddings(spark, sf), "vec_id", "vec", "label")
+    return m.select("n_clusters", F.round("inertia", 4).alias("inertia"), F.round("silhouette", 6).alias("silhouette"),
+                    F.round("calinski_harabasz", 4).alias("calinski_harabasz"), F.round("davies_bouldin", 4).alias("davies_bouldin"))
 
 
 # ---- K-Means / K-Medoids from given centres (FIX: unrolled SQL) --------------------------

@@ -523,7 +523,11 @@ def m9_knn(spark, sf):
     return out.select("c_custkey", F.round("bal", 6).alias("bal"))
 
 
-@reg("p2_schema")
+@reg("p2_schema", """SELECT (ordinal_position - 1)::INTEGER AS position, column_name AS name,
+  CASE WHEN data_type = 'INTEGER' THEN 'int' WHEN data_type = 'VARCHAR' THEN 'string' WHEN data_type = 'TIMESTAMP' THEN 'timestamp_ntz'
+    WHEN data_type = 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(data_type) END AS type,
+  (SELECT count(*) FROM lineitem) AS n_rows, (count(*) OVER ())::INTEGER AS n_columns
+FROM information_schema.columns WHERE table_name = 'lineitem'""")
 def p2_schema(spark, sf):
     return P.schema_profile(table(spark, sf, "lineitem"))
 
