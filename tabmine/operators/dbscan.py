@@ -206,14 +206,19 @@ def _block_core(pts: DataFrame, eps: float, min_samples: int):
 
 def k_distances(df: DataFrame, id_col: str, features: Sequence[str], k: int = 4,
                 block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Distance to the k-th nearest other row (k capped at n-1), with the
-    descending rank as ``idx`` (0-based)."""
+    """Distance to the k-th nearest other row (k capped at n-1). In one or
+    two dimensions from k-d leaves, else from the block join."""
+    from . import plane
     from .pairs import knn_join
 
     n = df.count()
     kk = max(1, min(k, n - 1))
     v = df.select(F.col(id_col).alias("id"), F.array(*[F.col(f).cast("double") for f in features]).alias("vec"),
                   F.lit(None).cast("string").alias("lab"))
+    if plane.fits(v, "id", "vec"):
+        rows = v.select("id", *plane.places("vec"))
+        kd = plane.kth_distances(rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m")), kk)
+        return rows.join(kd, ["x", "y"]).select(F.col("id").alias(id_col), "k_dist")
     nn = knn_join(v, v, kk, exclude_self=True, block_rows=block_rows)
     kd = nn.where(F.col("rank") == kk).select(F.col("q_id").alias(id_col), F.col("dist").alias("k_dist"))
     return kd
