@@ -1,8 +1,9 @@
 """K-Medoids by alternating assignment and medoid update (Voronoi iteration).
 
 Assignment is a projection over the k broadcast medoids. The update scores
-candidate medoids per cluster: ``exact`` scores every member through the
-block join, which computes all pairs of two blocks and keeps those of one
+candidate medoids per cluster: ``exact`` scores every member, by the sums over
+k-d leaves in one or two dimensions under the euclidean metric, else through
+the block join, which computes all pairs of two blocks and keeps those of one
 cluster (bounded memory per task); ``sample`` scores a seeded sample of s
 members plus the current medoid against every member in one pass (CLARA
 idea), for large clusters. The caller chooses; the row count switches nothing.
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import distance, nearest_center, np_distance_matrix
+from . import plane
 from .kmeans import kmeanspp_init, vec_frame
 from .pairs import DEFAULT_BLOCK_ROWS, _stack, block_join
 
@@ -50,6 +52,20 @@ def _member_costs_exact(v: DataFrame, labels_col, metric: str, block_rows: int)
     return costs.join(x.select("id", F.col("lab").cast("int").alias("cluster")), "id")
 
 
+def _member_costs_leaves(at: DataFrame, leaves: plane.Leaves, medoids: np.ndarray) -> DataFrame:
+    """(id, cluster, cost) of the rows that can be the medoid of their cluster, in one or two dimensions: every member's
+    cost is summed through the leaves, those of the least ones row by row."""
+    centres = np.zeros((len(medoids), 2))
+    centres[:, :medoids.shape[1]] = medoids
+
+    def label(xy: np.ndarray) -> np.ndarray:
+        return np.sqrt((xy[:, :1] - centres[:, 0]) ** 2 + (xy[:, 1:] - centres[:, 1]) ** 2).argmin(1)
+
+    got = plane.cheapest(plane.relabelled(leaves, label, len(medoids)))
+    best = at.sparkSession.createDataFrame(got, "cluster int, cost double, x double, y double")
+    return at.join(F.broadcast(best), ["x", "y"]).select("id", "cluster", "cost")
+
+
 def _member_costs_sample(v: DataFrame, labels_col, ids: list, medoids: np.ndarray, metric: str, s: int, seed: int, it: int):
     """Candidates: s seeded members per cluster, drawn anew each iteration, plus the current medoid."""
     lab = v.select("id", "vec", labels_col.alias("cluster"))
@@ -92,10 +108,16 @@ def kmedoids(df: DataFrame, id_col: str, features: Sequence[str] | None = None,
         else:
             ids = list(init)
         med = _vecs_of(v, ids)
+        leaves = None
+        if mode == "exact" and metric == "euclidean" and plane.fits(v, "id", "vec"):
+            at = v.select("id", *plane.places("vec"))
+            leaves = plane.plant(at.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m")).withColumn("labs", F.array().cast("array<bigint>")))
         it = 0
         for it in range(1, max_iter + 1):
             lab = nearest_center(F.col("vec"), med, metric)["idx"]
-            if mode == "exact":
+            if leaves is not None:
+                costs = _member_costs_leaves(at, leaves, med)
+            elif mode == "exact":
                 costs = _member_costs_exact(v, lab, metric, block_rows)
             else:
                 costs = _member_costs_sample(v, lab, ids, med, metric, sample_size, seed, it)

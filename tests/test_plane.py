@@ -32,3 +32,16 @@ def test_k_distances(rows, k):
     np.fill_diagonal(d, np.inf)
     want = np.sort(d, axis=1)[:, k - 1]
     assert len(got) == len(x) and np.allclose([got[i] for i in range(len(x))], want, rtol=1e-12, atol=0)
+
+
+def test_medoids(rows):
+    df, x, d = rows
+    res = kmedoids.kmedoids(df, "id", ["a", "b"], k=4, init=[0, 200, 500, 600])
+    ids = [0, 200, 500, 600]
+    while True:
+        lab = d[:, ids].argmin(1)
+        new = [int(np.flatnonzero(lab == c)[d[np.ix_(lab == c, lab == c)].sum(1).round(9).argmin()]) for c in range(4)]
+        if new == ids:
+            break
+        ids = new
+    assert res.medoid_ids == ids
