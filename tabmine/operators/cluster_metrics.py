@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import plane
 from .pairs import DEFAULT_BLOCK_ROWS, block_join, cluster_distance_sums
 
 #: Numbers of a centroid table that goes to every task; a larger one is joined by shuffle.
@@ -130,7 +131,8 @@ def silhouette_rows(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster
 def silhouette(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str = "cluster",
                mode: str = "exact", sample_rows: int = 1000, seed: int = 42,
                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Q3. ``exact``: mean over all rows (block join, O(n^2) distances);
+    """Q3. ``exact``: mean over all rows (k-d leaves in one or two dimensions,
+    else block join, O(n^2) distances);
     ``sample``: exact silhouettes of a seeded sample of rows against all rows;
     ``squared``: closed form on squared distances from per-cluster
     (n, sum, sum of squares) -- the metric Spark's ClusteringEvaluator uses.
@@ -142,6 +144,10 @@ def silhouette(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str
     if mode == "squared":
         return _silhouette_squared(df, id_col, vec, cluster, block_rows)
     if mode == "exact":
+        if plane.fits(df, id_col, vec, F.col(cluster).isNotNull()):
+            got = plane.silhouettes(df.select(*plane.places(vec), F.array(F.col(cluster).cast("bigint")).alias("labs")), 1)
+            if got is not None:
+                return spark.createDataFrame([(got[0], mode)], "silhouette double, mode string")
         rows = silhouette_rows(df, id_col, vec, cluster, block_rows)
     elif mode == "sample":
         q = df.withColumn("__o", F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed))))).orderBy(

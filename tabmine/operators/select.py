@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.ordered import running_sums
 from ..functions.quantiles import order_statistics
 from ..functions.vectors import nearest_center, np_distance_matrix
+from . import plane
 from .dbscan import k_distances
 from .kmeans import elbow, vec_frame
 from .pairs import DEFAULT_BLOCK_ROWS, _stack, block_join
@@ -30,8 +31,14 @@ def elbow_table(df: DataFrame, id_col: str, features: Sequence[str] | None = Non
 def multi_silhouette(v: DataFrame, labels: DataFrame, n_runs: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> dict:
     """Mean exact silhouette of many labelings of the same rows in one block
     join: each block pair's distances are computed once and reused by every
-    labeling. ``labels``: (id, labs ARRAY<INT>) with one label per run."""
-    x = v.join(labels, "id").select("id", "vec", F.to_json("labs").alias("lab"))
+    labeling. ``labels``: (id, labs ARRAY<INT>) with one label per run. Rows of
+    one or two dimensions go through k-d leaves instead."""
+    both = v.join(labels, "id").select("id", "vec", "labs")
+    if plane.fits(both, "id", "vec", F.forall("labs", lambda c: c.isNotNull())):
+        got = plane.silhouettes(both.select(*plane.places("vec"), F.col("labs").cast("array<bigint>").alias("labs")), n_runs)
+        if got is not None:
+            return dict(enumerate(got))
+    x = both.select("id", "vec", F.to_json("labs").alias("lab"))
     id_type = dict(x.dtypes)["id"]
 
     def kernel(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:

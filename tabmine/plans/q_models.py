@@ -415,14 +415,15 @@ def _runs(spark, sf):
     rows = []
     for n, k in ((1, 3), (2, 4)):
         res = kmeans(cu, "c_custkey", ["x", "y"], k=k, init=random_init(v, k, 42), max_iter=20)
-        lab = cu.join(res.labels, "c_custkey").select("c_custkey", F.array("x", "y").alias("vec"), "cluster")
+        # stored: every metric goes over the labels again
+        lab = cut_lineage(cu.join(res.labels, "c_custkey").select("c_custkey", F.array("x", "y").alias("vec"), "cluster"))
         met = cluster_metrics(lab, "c_custkey", "vec", "cluster")
         rows.append(R.run_record(spark, n, "KMeans", {"n_clusters": k, "init": "random"}, "customer", ["x", "y"],
                                  lab, met))
     from ..operators.dbscan import dbscan
 
-    lab = dbscan(cu, "c_custkey", ["x", "y"], eps=0.05, min_samples=3).join(cu, "c_custkey").select(
-        "c_custkey", F.array("x", "y").alias("vec"), "cluster")
+    lab = cut_lineage(dbscan(cu, "c_custkey", ["x", "y"], eps=0.05, min_samples=3).join(cu, "c_custkey").select(
+        "c_custkey", F.array("x", "y").alias("vec"), "cluster"))
     met = cluster_metrics(lab, "c_custkey", "vec", "cluster")
     rows.append(R.run_record(spark, 3, "DBSCAN", {"eps": 0.05, "min_samples": 3}, "customer", ["x", "y"], lab, met))
     path = _scratch(spark, "runs")
