@@ -109,7 +109,7 @@ def davies_bouldin(df: DataFrame, vec: str = "vec", cluster: str = "cluster",
 
 
 def silhouette_rows(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str = "cluster",
-                    block_rows: int = DEFAULT_BLOCK_ROWS, queries: DataFrame | None = None) -> DataFrame:
+                    block_rows: int | None = None, queries: DataFrame | None = None) -> DataFrame:
     """Per-row silhouette from the block join's (row, cluster) distance sums;
     a row alone in its cluster scores 0. ``queries`` restricts the rows scored
     (sampled mode); distances always run against every row."""
@@ -130,7 +130,7 @@ def silhouette_rows(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster
 
 def silhouette(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str = "cluster",
                mode: str = "exact", sample_rows: int = 1000, seed: int = 42,
-               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+               block_rows: int | None = None) -> DataFrame:
     """Q3. ``exact``: mean over all rows (k-d leaves in one or two dimensions,
     else block join, O(n^2) distances);
     ``sample``: exact silhouettes of a seeded sample of rows against all rows;
@@ -142,7 +142,7 @@ def silhouette(df: DataFrame, id_col: str = "id", vec: str = "vec", cluster: str
     if not (2 <= k_n["k"] < k_n["n"]):
         return spark.createDataFrame([(None, mode)], "silhouette double, mode string")
     if mode == "squared":
-        return _silhouette_squared(df, id_col, vec, cluster, block_rows)
+        return _silhouette_squared(df, id_col, vec, cluster, block_rows or DEFAULT_BLOCK_ROWS)
     if mode == "exact":
         if plane.fits(df, id_col, vec, F.col(cluster).isNotNull()):
             got = plane.silhouettes(df.select(*plane.places(vec), F.array(F.col(cluster).cast("bigint")).alias("labs")), 1)

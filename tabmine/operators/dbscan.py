@@ -8,7 +8,8 @@ against a cell are salted by chunks of at most ``chunk_rows`` rows, so a cell
 holding a third of the data is spread over many tasks.
 
 Higher dimensions: neighbour counts and core-core links come from the block
-join (bounded memory per task; the link list grows with density).
+join (bounded memory per task); a pair of blocks yields stars over its own
+components, not every core-core pair.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import distance
 from .components import connected_components
-from .pairs import DEFAULT_BLOCK_ROWS, eps_edges, eps_neighbour_counts
+from .pairs import eps_edges, eps_links, eps_neighbour_counts
 
 CHUNK_ROWS = 4096
 
@@ -193,19 +194,18 @@ def _key(cell):
 
 
 def _block_core(pts: DataFrame, eps: float, min_samples: int):
-    """High-d: neighbour counts and core-core links from the block join; each
-    core row is its own 'cell'."""
+    """High-d: neighbour counts and links between core rows from the block join;
+    each core row is its own 'cell'."""
     v = pts.select("id", "vec", F.lit(None).cast("string").alias("lab"))
     nc = eps_neighbour_counts(v, eps)
     core = pts.join(nc, "id").select("id", "vec", "ord", F.col("id").alias("cell"),
                                     (F.col("n") >= min_samples).alias("is_core")).cache()
     cv = core.where("is_core").select("id", "vec", F.lit(None).cast("string").alias("lab"))
-    edges = eps_edges(cv, cv, eps).where(F.col("a") < F.col("b")).select("a", "b")
-    return core, edges
+    return core, eps_links(cv, eps)
 
 
 def k_distances(df: DataFrame, id_col: str, features: Sequence[str], k: int = 4,
-                block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+                block_rows: int | None = None) -> DataFrame:
     """Distance to the k-th nearest other row (k capped at n-1). In one or
     two dimensions from k-d leaves, else from the block join."""
     from . import plane

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import np_distance_matrix
+from ..functions.vectors import distances_for_sums, np_distance_matrix
 from ..session import cut_lineage
 from .kmeans import vec_frame
 from .pairs import DEFAULT_BLOCK_ROWS, _stack, block_join
@@ -31,7 +31,8 @@ def _sum_to(q: DataFrame, b: DataFrame, metric: str, block_rows: int, how: str =
     def kernel(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:
         if len(qp) == 0:
             return pd.DataFrame({"id": pd.Series([], dtype=object), "s": pd.Series([], dtype=float)})
-        d = np_distance_matrix(_stack(qp["vec"]), _stack(bp["vec"]), metric)
+        x, y = _stack(qp["vec"]), _stack(bp["vec"])
+        d = distances_for_sums(x, y) if metric == "euclidean" and how == "sum" else np_distance_matrix(x, y, metric)
         d = np.where(qp["id"].to_numpy()[:, None] == bp["id"].to_numpy()[None, :], 0.0, d)
         return pd.DataFrame({"id": qp["id"].to_numpy(), "s": d.sum(axis=1) if how == "sum" else d.max(axis=1)})
 
