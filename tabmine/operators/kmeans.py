@@ -63,7 +63,7 @@ def kmeanspp_init(v: DataFrame, ks: dict, metric: str = "sqeuclidean") -> dict:
         active = [r for r in runs if len(chosen[r]) < ks[r][0]]
         if not active:
             break
-        us = F.array(*[_uniform((ks[r][1], "pp", step)) for r in active])
+        us = [_uniform((ks[r][1], "pp", step)).alias(f"u{j}") for j, r in enumerate(active)]
         cen = {r: (np.vstack(chosen[r]) if chosen[r] else None) for r in active}
 
         def part(it, active=active, cen=cen):
@@ -72,22 +72,16 @@ def kmeanspp_init(v: DataFrame, ks: dict, metric: str = "sqeuclidean") -> dict:
                 if len(pdf) == 0:
                     continue
                 X = np.stack([np.asarray(x, dtype=np.float64) for x in pdf["vec"].to_numpy()])
-                U = np.stack([np.asarray(u, dtype=np.float64) for u in pdf["u"].to_numpy()])
-                ids = pdf["id"].to_numpy()
                 for j, r in enumerate(active):
-                    tie = -np.log(U[:, j])
+                    tie = -np.log(pdf[f"u{j}"].to_numpy(np.float64))
                     if cen[r] is None:
-                        key = tie.copy()
+                        key = tie
                     else:
-                        diff = X[:, None, :] - cen[r][None, :, :]
-                        if metric in ("sqeuclidean", "euclidean"):
-                            w = (diff * diff).sum(2).min(1)
-                        else:
-                            w = np.abs(diff).sum(2).min(1) ** 2
-                        with np.errstate(divide="ignore"):
+                        w = _least_weight(X, cen[r], metric in ("sqeuclidean", "euclidean"))
+                        with np.errstate(divide="ignore", invalid="ignore"):
                             key = np.where(w > 0, tie / w, np.inf)
-                    order = np.lexsort((tie, key))
-                    i = order[0]
+                    first = np.flatnonzero(key == key.min())
+                    i = first[tie[first].argmin()]
                     cand = (float(key[i]), float(tie[i]), X[i].tolist())
                     if r not in best or cand[:2] < best[r][:2]:
                         best[r] = cand
@@ -95,7 +89,7 @@ def kmeanspp_init(v: DataFrame, ks: dict, metric: str = "sqeuclidean") -> dict:
                 yield pd.DataFrame([(r, k_, t_, x_) for r, (k_, t_, x_) in best.items()],
                                    columns=["run", "key", "tie", "vec"])
 
-        got = v.select("id", "vec", us.alias("u")).mapInPandas(
+        got = v.select("vec", *us).mapInPandas(
             part, "run int, key double, tie double, vec array<double>").collect()
         pick: dict = {}
         for row in got:
@@ -109,6 +103,22 @@ def kmeanspp_init(v: DataFrame, ks: dict, metric: str = "sqeuclidean") -> dict:
     return {r: np.vstack(chosen[r]) for r in runs}
 
 
+def _least_weight(X: np.ndarray, C: np.ndarray, squared: bool) -> np.ndarray:
+    """D^2 of every row to its nearest of the centres, a centre at a time."""
+    least = None
+    for c in C:
+        diff = X - c
+        diff = diff * diff if squared else np.abs(diff)
+        if len(c) < 8:  # column by column: adds in the order of a row sum
+            d = diff[:, 0].copy()
+            for j in range(1, len(c)):
+                d += diff[:, j]
+        else:
+            d = diff.sum(1)
+        least = d if least is None else np.minimum(least, d)
+    return least if squared else least ** 2
+
+
 def lloyd(v: DataFrame, init: dict, max_iter: int = 100, tol: float = 1e-4, seed: int = 42):
     """Batched Lloyd iterations. ``init`` maps run -> k x d centres.
     Returns run -> (assign_centres, reported_centres, n_iter): labels come
@@ -147,6 +157,12 @@ def lloyd(v: DataFrame, init: dict, max_iter: int = 100, tol: float = 1e-4, seed
     return {r: (assign[r], centers[r], n_iter[r]) for r in centers}
 
 
+def _spread(v: DataFrame) -> DataFrame:
+    """Over all cores: a small file is read by few tasks, and every iteration would run on as few."""
+    cores = v.sparkSession.sparkContext.defaultParallelism
+    return v.repartition(cores) if v.rdd.getNumPartitions() < cores else v
+
+
 def _scalar_cols(v: DataFrame, d: int) -> DataFrame:
     """Vector elements as plain DOUBLE columns: Arrow hands them to NumPy as
     contiguous arrays (no per-row object conversion)."""
@@ -154,8 +170,23 @@ def _scalar_cols(v: DataFrame, d: int) -> DataFrame:
 
 
 def _nearest(X: np.ndarray, C: np.ndarray) -> np.ndarray:
-    """Index of the nearest centre of every row (ties to the lowest), one coordinate at a time:
-    memory is rows x centres, never rows x centres x coordinates."""
+    """Index of the nearest centre of every row (ties to the lowest), one centre and coordinate at a time:
+    memory is a few numbers a row."""
+    if np.isfinite(C).all():
+        cols = np.ascontiguousarray(X.T)
+        lab, least = np.zeros(len(X), np.int64), None
+        for i, c in enumerate(C):
+            d2 = np.zeros(len(X))
+            for x, y in zip(cols, c):
+                t = x - y
+                t *= t
+                d2 += t
+            if least is None:
+                least = d2
+                continue
+            lab[d2 < least] = i
+            np.minimum(least, d2, out=least)
+        return lab
     d2 = np.zeros((len(X), len(C)))
     for j in range(X.shape[1]):
         t = X[:, j, None] - C[None, :, j]
@@ -235,7 +266,7 @@ def kmeans(df: DataFrame, id_col: str, features: Sequence[str] | None = None, k:
            init="k-means++", n_init: int = 10, max_iter: int = 100, tol: float = 1e-4, seed: int = 42) -> KMeansResult:
     """Best of ``n_init`` restarts by inertia (first on ties). ``init`` is
     'k-means++', 'random' or an explicit k x d array (then one run)."""
-    v = vec_frame(df, id_col, features, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
+    v = _spread(vec_frame(df, id_col, features, vec_col)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if isinstance(init, str):
             if init == "k-means++":
@@ -267,7 +298,7 @@ def elbow(df: DataFrame, id_col: str, features: Sequence[str] | None = None, ks:
     """Q7: best inertia per k over ``restarts`` k-means++ runs; all
     (k, restart) runs share every iteration's job. Returns (table, fits)."""
     spark = df.sparkSession
-    v = vec_frame(df, id_col, features, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
+    v = _spread(vec_frame(df, id_col, features, vec_col)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         spec = {}
         for k in ks:
