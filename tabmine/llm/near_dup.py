@@ -9,10 +9,18 @@
    passed over.
 3. Merging, first in ROUNDS over stars: every class against two classes of each of its lists, drawn by hash, that are in
    other components; the one it shares most coordinates with is confirmed on the full sets, and confirmed links are joined
-   into components. Then over what is left: pairs of a list that are in different components yet share MATCHES
-   coordinates are all confirmed, but for those that cannot be linked by how many of their shingles no other open set
-   has: copies with many edits of their own are told apart without comparing each two. A group of m near copies so costs about m pairs a round, not m^2, and no link between
-   different components is lost.
+   into components. Then over what is left, lists that still hold several components. Of lists of up to SHORT classes,
+   pairs in different components that share MATCHES coordinates are confirmed, but for those that cannot be linked by how
+   many of their shingles no other open set has.
+4. Longer lists, mostly near copies of one text, go by their differences from a common base. Lists of one main component
+   make a family; its base holds the shingles of most of SLOTS members (any base gives the same links, a good one gives
+   short differences). Sets i and j with differences d_i and d_j from the base differ in d_i + d_j - 2 common places, so
+   they are linked if and only if 2 (100 + percent) common >= W_i + W_j, where W = (100 + percent) d - (100 - percent) n.
+   The member of the least W is linked with every member that needs no common place with it; a pair of the others
+   must share differences, and a prefix join over these, rarest first, finds it. Copies with many edits of their own thus
+   meet only copies with the same edits, not every member of their family.
+
+A group of m near copies so costs about m pairs a round, not m^2, and no link between different components is lost.
 
 Collisions are counted on seven bits per coordinate, seven coordinates to a long (a match always matches there, so
 nothing is missed)."""
@@ -21,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabmine.operators.components import connected_components
@@ -33,6 +41,14 @@ COORDS, MATCHES = 64, 36
 PREFIX = COORDS - MATCHES + 1
 #: Rounds over stars before the remaining pairs are confirmed.
 ROUNDS = 2
+#: Classes of a list that are still compared pair by pair.
+SHORT = 32
+#: Members at most whose majority makes a family's base.
+SLOTS = 15
+#: Bytes up to which the families' bases are sent with the scan of their members.
+SENT_BYTES = 32 << 20
+#: Differences of an Arrow batch.
+BATCH = 1 << 20
 #: Classes of a chunk and posting keys of a bucket in the frequency count.
 CHUNK_CLASSES, BUCKET_KEYS = 10_000, 1_000_000
 #: Smallest set that can be linked with a different one: 4 of 5 shingles.
@@ -222,6 +238,73 @@ def _shared(sets: DataFrame) -> DataFrame:
     return stored(dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(count, "c long, shared long"), "shared")
 
 
+def _families(long: DataFrame) -> DataFrame:
+    """g, c, n of the classes in each family: the lists in which most classes have the label g; stored."""
+    votes = long.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
+    main = votes.groupBy("key").agg(F.max(F.struct("k", "label")).alias("m")).select("key", F.col("m.label").alias("g"))
+    return stored(long.join(main, "key").select("g", "c", "n").distinct(), "families")
+
+
+def _differences(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """g, c, n, d (number of differences), w (see above), delta (the shingles in which the set and the family's base
+    differ), stored."""
+    slot = F.pmod(F.xxhash64("c", "g"), F.lit(SLOTS))
+    drawn = families.groupBy("g", slot.alias("slot")).agg(F.min("c").alias("c")).select("g", "c")
+
+    def majority(t):
+        blobs = t.column("set").to_pylist()
+        x, k = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_counts=True)
+        return pa.table({"g": t.column("g").slice(0, 1), "base": pa.array([x[2 * k > len(blobs)].tobytes()], pa.binary())})
+
+    base = stored(drawn.join(sets, "c").select("g", "set").groupBy("g").applyInArrow(majority, "g long, base binary"), "bases")
+    n_bytes = int(base.agg(F.sum(F.octet_length("base"))).first()[0] or 0)
+    both = families.join(sets, "c").join(F.broadcast(base) if n_bytes <= SENT_BYTES else base, "g")
+
+    def differ(batches):
+        for b in batches:
+            at, held, size = 0, [], 0
+            pairs = list(zip(b.column(3).to_pylist(), b.column(4).to_pylist()))
+            for k, (x, y) in enumerate(pairs, 1):
+                held.append(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+                size += len(held[-1])
+                if size >= BATCH or k == len(pairs):
+                    ends = np.cumsum([0, *map(len, held)])
+                    delta = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(held).view(np.int64)))
+                    cols = [*(b.column(c).slice(at, k - at) for c in range(3)), pa.array(np.diff(ends)), delta]
+                    yield pa.RecordBatch.from_arrays(cols, ["g", "c", "n", "d", "delta"])
+                    at, held, size = k, [], 0
+
+    out = both.select("g", "c", "n", "set", "base").mapInArrow(tidy(differ), "g long, c long, n long, d long, delta array<long>")
+    return stored(out.withColumn("w", (100 + percent) * F.col("d") - (100 - percent) * F.col("n")), "differences")
+
+
+def _with_family(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """`rows` with the columns of their family, one row of `facts` a family."""
+    return rows.join(F.broadcast(facts) if facts.count() <= SENT_IDS else facts, "g")
+
+
+def _family_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members (g, c, n, d, w, delta, label, least: the family's least w) with different labels that
+    can be linked, without those that need no common difference with the least member."""
+    far = F.col("w") + F.col("least") > 0
+    first = members.where(far).groupBy("g").agg(F.min("w").alias("least_far"))
+    open_ = _with_family(members.withColumn("far", far), stored(first, "far"))
+    unit = 2 * (100 + percent)
+    # one of a pair is far: the common places that any partner asks for
+    asked = F.greatest(F.lit(1), F.ceil((F.col("w") + F.when(F.col("far"), F.col("least")).otherwise(F.col("least_far"))) / unit))
+    each = open_.select("g", "c", "n", "d", "w", "label", "far", (F.col("d") - asked + 1).alias("prefix"), F.explode("delta").alias("x"))
+    each = stored(each, "places")
+    known = each.groupBy("g", "x").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    # places of one member only match nothing: they stand first in its order and need no row
+    shared = each.join(known, ["g", "x"])
+    total = shared.select("*", F.count(F.lit(1)).over(Window.partitionBy("g", "c")).alias("held"), F.row_number().over(Window.partitionBy("g", "c").orderBy("f", "x")).alias("nth"))
+    posted = total.select("g", "x", "c", "n", "w", "label", "far", (F.col("held") - F.col("nth")).alias("after"), (F.col("d") - F.col("held") + F.col("nth")).alias("rank"), "prefix")
+    posted = stored(posted.where(F.col("rank") <= F.col("prefix")).drop("rank", "prefix"), "places")
+    fits = (100 * F.least("n", "m_n") >= percent * F.greatest("n", "m_n")) & (unit * (1 + F.least("after", "m_after")) >= F.col("w") + F.col("m_w"))
+    pairs = posted.where("far").join(_prefixed(posted, "m_", ["g", "x"]), ["g", "x"]).where((F.col("label") != F.col("m_label")) & (~F.col("m_far") | (F.col("c") < F.col("m_c"))) & fits)
+    return pairs.select(F.least("c", "m_c").alias("a"), F.greatest("c", "m_c").alias("b"))
+
+
 def _components(links: DataFrame) -> DataFrame:
     """c, label of every class that has a link."""
     nodes = links.select(F.col("a").alias("id")).union(links.select("b")).distinct()
@@ -263,15 +346,27 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         labelled = posted.join(_components(links), "c", "left").withColumn("label", F.coalesce("label", "c"))
         labelled = stored(labelled, "labelled")
     # lists that lie in one component have nothing left to find
-    open_keys = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    rest = stored(labelled.join(open_keys, "key"), "open")
+    lists = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi")
+    rest = stored(labelled.join(lists.select("key", (F.col("k") > SHORT).alias("long")), "key"), "open")
     sets = _sets(src, ids_of(rest.select("c")), words)
-    rest = rest.join(_shared(sets), "c")
+    families = _families(rest.where("long"))
+    near = None
+    if families.count():
+        deltas = _differences(families, sets, percent)
+        centre = stored(deltas.groupBy("g").agg(F.min(F.struct("w", "c")).alias("m")).select("g", F.col("m.w").alias("least"), F.col("m.c").alias("centre")), "centres")
+        deltas = _with_family(deltas, centre)
+        star = deltas.where((F.col("w") + F.col("least") <= 0) & (F.col("c") != F.col("centre"))).select(F.col("c").alias("a"), F.col("centre").alias("b"))
+        links = links.unionByName(_confirmed(stored(star.distinct(), "pairs"), sets, percent))
+        labels = stored(_components(links), "labels")
+        rest = rest.drop("label").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+        near = _family_pairs(deltas.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")), percent)
+    rest = rest.where(~F.col("long")).drop("long").join(_shared(sets), "c")
     # what only one set has is in no intersection, but in the union
     low = F.least("shared", "m_shared")
     possible = 100 * low >= percent * (F.col("n") + F.col("m_n") - low)
     pairs = _prefixed(rest, "", ["key"]).join(_prefixed(rest, "m_", ["key"]), "key").where((F.col("c") < F.col("m_c")) & (F.col("label") != F.col("m_label")) & sizes & possible)
-    more = _confirmed(stored(pairs.select(F.col("c").alias("a"), F.col("m_c").alias("b")).distinct(), "pairs"), sets, percent)
+    pairs = pairs.select(F.col("c").alias("a"), F.col("m_c").alias("b"))
+    more = _confirmed(stored((pairs if near is None else pairs.unionByName(near)).distinct(), "pairs"), sets, percent)
 
     members = stored(some.select("doc_id", F.col("f1").alias("c")).distinct(), "members")
     # a document with several sets ties their classes together
