@@ -123,7 +123,7 @@ class Encoder:
 
     A space between two characters that are no white space always starts a new pre-token, and so does the punctuation
     after the letters of a word's end. Texts are cut at those spaces and equal pieces are encoded once, without such a
-    tail; `CACHE` bounds the pieces remembered. A text that holds an added token of the vocabulary, such as
+    tail; `CACHE` bounds the pieces remembered, in two generations: what the younger one uses it takes over. A text that holds an added token of the vocabulary, such as
     <|endoftext|>, goes through the library whole, which finds the token as its plain call does."""
 
     CACHE = 500_000
@@ -147,7 +147,11 @@ class Encoder:
         self.cut = re.compile(f" (?={no_space})(?<={no_space} )").split
         self.black = re.compile(f"{no_space}*").fullmatch
         self.feed = self.tok.token_to_id("\u010a")  # the line feed in the byte alphabet
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # tokens that start with a space
+        self.spaced[[k for t, k in vocabulary.items() if t[:1] == "\u0120"]] = True
         self.after: dict[str, bytes] = {}  # ids of a piece after a space, by the piece without that space
+        self.before: dict[str, dict[str, bytes]] = {" ": {}, "": {}}  # both of the generation before
         self.plain: dict[str, bytes] = {}  # ids of a piece at a text's start, and of tails
 
     def pieces(self, text: str) -> list[str]:
@@ -156,52 +160,64 @@ class Encoder:
         return text.split(" ")
 
     def _ids(self, pieces: list[str], lead: str) -> list[bytes]:
-        """Ids of each piece after `lead`. Pieces without white space go JOINED to a text, with line feeds between: one
-        between other characters is a token of its own, by which the ids are cut again."""
+        """Ids of each piece after `lead`. Pieces without white space go JOINED to a text and the ids are cut again:
+        after a space, where a token starts with it (no other one of the piece does); else by line feeds between, as one
+        between other characters is a token of its own."""
         out: dict[str, bytes] = {}
-        odd = [p for p in pieces if not p or not self.black(p)]
-        out.update((p, array(self.code, e.ids).tobytes()) for p, e in zip(odd, self.tok.encode_batch_fast([lead + p for p in odd], add_special_tokens=False)))
-        even = [p for p in pieces if p not in out]
+        odd = [p for p in pieces if not p or not self.black(p)] if "" in pieces or not self.black("".join(pieces)) else []
+        if odd:
+            out.update((p, array(self.code, e.ids).tobytes()) for p, e in zip(odd, self.tok.encode_batch_fast([lead + p for p in odd], add_special_tokens=False)))
+        even = [p for p in pieces if p not in out] if odd else pieces
         groups = [even[i : i + self.JOINED] for i in range(0, len(even), self.JOINED)]
-        texts = ["\n" + lead + ("\n" + lead).join(g) for g in groups]
         if even:
+            skip = 0 if lead else self.width
+            texts = [" " + " ".join(g) for g in groups] if lead else ["\n" + "\n".join(g) for g in groups]
             ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)])
-            at = (np.flatnonzero(ids == self.feed) * self.width).tolist()
-            raw, w = ids.tobytes(), self.width
-            out.update((p, raw[a + w : z]) for p, a, z in zip(even, at, [*at[1:], len(raw)]))
+            at = (np.flatnonzero(self.spaced[ids] if lead else ids == self.feed) * self.width).tolist()
+            raw = ids.tobytes()
+            cut = [raw[a + skip : z] for a, z in zip(at, [*at[1:], len(raw)])]
+            if not odd:
+                return cut
+            out.update(zip(even, cut))
         return [out[p] for p in pieces]
 
+    def _missing(self, known: dict[str, bytes], pieces: set[str], lead: str) -> set[str]:
+        """The pieces that are not in `known`, after taking over those of the generation before."""
+        new = pieces.difference(known)
+        was = self.before[lead]
+        if new and was:
+            fresh = new.difference(was)
+            seen = list(new.difference(fresh))
+            known.update(zip(seen, map(was.__getitem__, seen)))
+            new = fresh
+        return new
+
     def _look(self, known: dict[str, bytes], pieces: set[str], lead: str) -> dict[str, bytes]:
-        """Ids of the pieces of a batch, as a small dictionary; new ones are remembered in `known`."""
-        here = dict(zip(pieces, map(known.get, pieces)))
-        new = {p for p, ids in here.items() if ids is None}
+        """`known` with the ids of all pieces of a batch; new ones are learnt first."""
+        new = self._missing(known, pieces, lead)
         if new:
             self._learn(known, new, lead)
-            here.update((p, known[p]) for p in new)
-        return here
+        return known
 
     def _learn(self, known: dict[str, bytes], new: set[str], lead: str) -> None:
         """Adds the ids of new pieces to `known`. They are taken apart first: a single line feed between two
         characters that are no white space is a pre-token of its own, and so is a tail."""
         lines = {p: q for p in new if "\n" in p and (q := p.split("\n")) and all(x and self.black(x) for x in q)}
         inner = {x for q in lines.values() for x in q[1:]}
-        self._tails(self.plain, inner.difference(self.plain), "")
-        self._tails(known, {q[0] for q in lines.values()}.union(new.difference(lines)).difference(known), lead)
+        self._tails(self.plain, self._missing(self.plain, inner, ""), "")
+        self._tails(known, self._missing(known, {q[0] for q in lines.values()}.union(new.difference(lines)), lead), lead)
         if lines:
             if "\n" not in self.plain:
                 self.plain["\n"] = self._ids(["\n"], "")[0]
             known.update((p, self.plain["\n"].join([known[q[0]], *(self.plain[x] for x in q[1:])])) for p, q in lines.items())
 
     def _tails(self, known: dict[str, bytes], new: set[str], lead: str) -> None:
-        stems = {}
-        for p in new:
-            stem = p.rstrip(self.TAILS)
-            stems[p] = stem if stem and stem[-1].isalpha() else p
-        todo = list(set(stems.values()).difference(known))
+        cut = {p: s for p in new if p[-1:] in self.TAILS and (s := p.rstrip(self.TAILS)) and s[-1].isalpha()}
+        todo = list(self._missing(known, new.difference(cut).union(cut.values()), lead))
         known.update(zip(todo, self._ids(todo, lead)))
-        tails = list({p[len(s) :] for p, s in stems.items() if len(s) < len(p)}.difference(self.plain))
+        tails = list({p[len(s) :] for p, s in cut.items()}.difference(self.plain))
         self.plain.update(zip(tails, self._ids(tails, "")))
-        known.update((p, known[s] + self.plain[p[len(s) :]]) for p, s in stems.items() if len(s) < len(p))
+        known.update((p, known[s] + self.plain[p[len(s) :]]) for p, s in cut.items())
 
     def encode(self, texts: list[str], end_id: int) -> list[bytes]:
         """The ids of each text, with the end id."""
@@ -215,9 +231,9 @@ class Encoder:
             for k, ids in zip(others, self.encode([texts[k] for k in others], end_id) if others else []):
                 out[k] = ids
             return out
-        if len(self.after) + len(self.plain) > self.CACHE:
-            self.after.clear()
-            self.plain.clear()
+        if len(self.after) + len(self.plain) > self.CACHE // 2:
+            self.before = {" ": self.after, "": self.plain}
+            self.after, self.plain = {}, {}
         per = [self.pieces(t) for t in texts]
         heads = [ps[0] for ps in per]
         first = self._look(self.plain, set(heads), "")
