@@ -238,15 +238,23 @@ def _shared(sets: DataFrame) -> DataFrame:
     return stored(dealt.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(count, "c long, shared long"), "shared")
 
 
+def _possible(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of `pairs` (a, b, n, m_n) that can be linked: what only one set has is in no intersection, but
+    in the union."""
+    both = pairs.join(shared.select(F.col("c").alias("a"), "shared"), "a").join(shared.select(F.col("c").alias("b"), F.col("shared").alias("m_shared")), "b")
+    low = F.least("shared", "m_shared")
+    return both.where(100 * low >= percent * (F.col("n") + F.col("m_n") - low)).select("a", "b")
+
+
 def _families(long: DataFrame) -> DataFrame:
-    """g, c, n of the classes in each family: the lists in which most classes have the label g; stored."""
+    """g, c, n, label of the classes in each family: the lists in which most classes have the label g; stored."""
     votes = long.groupBy("key", "label").agg(F.count(F.lit(1)).alias("k"))
     main = votes.groupBy("key").agg(F.max(F.struct("k", "label")).alias("m")).select("key", F.col("m.label").alias("g"))
-    return stored(long.join(main, "key").select("g", "c", "n").distinct(), "families")
+    return stored(long.join(main, "key").select("g", "c", "n", "label").distinct(), "families")
 
 
 def _differences(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """g, c, n, d (number of differences), w (see above), delta (the shingles in which the set and the family's base
+    """g, c, n, label, d (number of differences), w (see above), delta (the shingles in which the set and the family's base
     differ), stored."""
     slot = F.pmod(F.xxhash64("c", "g"), F.lit(SLOTS))
     drawn = families.groupBy("g", slot.alias("slot")).agg(F.min("c").alias("c")).select("g", "c")
@@ -263,18 +271,18 @@ def _differences(families: DataFrame, sets: DataFrame, percent: int) -> DataFram
     def differ(batches):
         for b in batches:
             at, held, size = 0, [], 0
-            pairs = list(zip(b.column(3).to_pylist(), b.column(4).to_pylist()))
+            pairs = list(zip(b.column(4).to_pylist(), b.column(5).to_pylist()))
             for k, (x, y) in enumerate(pairs, 1):
                 held.append(np.setxor1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
                 size += len(held[-1])
                 if size >= BATCH or k == len(pairs):
                     ends = np.cumsum([0, *map(len, held)])
                     delta = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate(held).view(np.int64)))
-                    cols = [*(b.column(c).slice(at, k - at) for c in range(3)), pa.array(np.diff(ends)), delta]
-                    yield pa.RecordBatch.from_arrays(cols, ["g", "c", "n", "d", "delta"])
+                    cols = [*(b.column(c).slice(at, k - at) for c in range(4)), pa.array(np.diff(ends)), delta]
+                    yield pa.RecordBatch.from_arrays(cols, ["g", "c", "n", "label", "d", "delta"])
                     at, held, size = k, [], 0
 
-    out = both.select("g", "c", "n", "set", "base").mapInArrow(tidy(differ), "g long, c long, n long, d long, delta array<long>")
+    out = both.select("g", "c", "n", "label", "set", "base").mapInArrow(tidy(differ), "g long, c long, n long, label long, d long, delta array<long>")
     return stored(out.withColumn("w", (100 + percent) * F.col("d") - (100 - percent) * F.col("n")), "differences")
 
 
@@ -348,25 +356,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     # lists that lie in one component have nothing left to find
     lists = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi")
     rest = stored(labelled.join(lists.select("key", (F.col("k") > SHORT).alias("long")), "key"), "open")
-    sets = _sets(src, ids_of(rest.select("c")), words)
     families = _families(rest.where("long"))
-    near = None
+    rest = rest.where(~F.col("long")).drop("long")
+    pairs = _prefixed(rest, "", ["key"]).join(_prefixed(rest, "m_", ["key"]), "key").where((F.col("c") < F.col("m_c")) & (F.col("label") != F.col("m_label")) & sizes)
+    near = stored(pairs.select(F.col("c").alias("a"), F.col("m_c").alias("b"), "n", "m_n").distinct(), "near")
+    # only classes that have a partner, or a family, are read again
+    sets = _sets(src, ids_of(near.select(F.col("a").alias("c")).union(near.select("b")).union(families.select("c"))), words)
+    near = _possible(near, _shared(sets), percent)
     if families.count():
         deltas = _differences(families, sets, percent)
-        centre = stored(deltas.groupBy("g").agg(F.min(F.struct("w", "c")).alias("m")).select("g", F.col("m.w").alias("least"), F.col("m.c").alias("centre")), "centres")
+        centre = stored(deltas.groupBy("g").agg(F.min(F.struct("w", "c", "label")).alias("m")).select("g", F.col("m.w").alias("least"), F.col("m.c").alias("centre"), F.col("m.label").alias("main")), "centres")
         deltas = _with_family(deltas, centre)
-        star = deltas.where((F.col("w") + F.col("least") <= 0) & (F.col("c") != F.col("centre"))).select(F.col("c").alias("a"), F.col("centre").alias("b"))
-        links = links.unionByName(_confirmed(stored(star.distinct(), "pairs"), sets, percent))
-        labels = stored(_components(links), "labels")
-        rest = rest.drop("label").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        near = _family_pairs(deltas.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")), percent)
-    rest = rest.where(~F.col("long")).drop("long").join(_shared(sets), "c")
-    # what only one set has is in no intersection, but in the union
-    low = F.least("shared", "m_shared")
-    possible = 100 * low >= percent * (F.col("n") + F.col("m_n") - low)
-    pairs = _prefixed(rest, "", ["key"]).join(_prefixed(rest, "m_", ["key"]), "key").where((F.col("c") < F.col("m_c")) & (F.col("label") != F.col("m_label")) & sizes & possible)
-    pairs = pairs.select(F.col("c").alias("a"), F.col("m_c").alias("b"))
-    more = _confirmed(stored((pairs if near is None else pairs.unionByName(near)).distinct(), "pairs"), sets, percent)
+        star = deltas.where((F.col("w") + F.col("least") <= 0) & (F.col("label") != F.col("main")))
+        links = links.unionByName(_confirmed(stored(star.select(F.col("c").alias("a"), F.col("centre").alias("b")).distinct(), "pairs"), sets, percent))
+        # what has the label of a member linked with the centre is in its component
+        joined = star.select("g", "label", F.lit(True).alias("joined")).distinct()
+        deltas = deltas.join(joined, ["g", "label"], "left").withColumn("label", F.when(F.col("joined"), F.col("main")).otherwise(F.col("label")))
+        near = near.unionByName(_family_pairs(deltas, percent))
+    more = _confirmed(stored(near.distinct(), "pairs"), sets, percent)
 
     members = stored(some.select("doc_id", F.col("f1").alias("c")).distinct(), "members")
     # a document with several sets ties their classes together

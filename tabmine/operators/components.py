@@ -23,12 +23,12 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         # propagate: each vertex takes the smallest label among its neighbours
         cand = e.join(lab.withColumnRenamed("id", "b").withColumnRenamed("comp", "lb"), "b").groupBy(
             F.col("a").alias("id")).agg(F.min("lb").alias("cand"))
-        step = lab.join(cand, "id", "left").select("id", F.least("comp", F.coalesce("cand", "comp")).alias("comp"))
+        step = lab.join(cand, "id", "left").select("id", F.col("comp").alias("old"), F.least("comp", F.coalesce("cand", "comp")).alias("comp"))
         # pointer jumping: follow the label's own label
         hop = step.alias("s").join(step.select(F.col("id").alias("cid"), F.col("comp").alias("cc")),
                                    F.col("s.comp") == F.col("cid"), "left")
-        new = cut_lineage(hop.select("id", F.least("comp", F.coalesce("cc", "comp")).alias("comp")))
-        changed = new.join(lab.withColumnRenamed("comp", "old"), "id").where(F.col("comp") != F.col("old")).limit(1).count()
-        lab = new
+        new = cut_lineage(hop.select("id", "old", F.least("comp", F.coalesce("cc", "comp")).alias("comp")))
+        changed = new.where(F.col("comp") != F.col("old")).limit(1).count()
+        lab = new.select("id", "comp")
         if changed == 0:
             return lab
