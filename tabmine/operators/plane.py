@@ -276,7 +276,8 @@ def kth_distances(points: DataFrame, k: int) -> DataFrame:
                 step = max(1, 1_000_000 // max(1, len(some)))
                 for i in range(0, len(xy) if len(some) else 0, step):
                     q, s = np.nonzero(gaps(xy[i:i + step], box[some]) <= bound[i:i + step, None] * (1 + 1e-9))
-                    yield pd.DataFrame({"ask": ids[some[s]].astype(np.int32), "x": xy[i + q, 0], "y": xy[i + q, 1], "d": [[]] * len(q)})
+                    if len(q):  # a column of no lists has no type that Arrow makes lists of
+                        yield pd.DataFrame({"ask": ids[some[s]].astype(np.int32), "x": xy[i + q, 0], "y": xy[i + q, 1], "d": [[]] * len(q)})
 
     spread = leaves.blobs.select("leaf", "xy", "m").repartition(_parts(leaves), "leaf")
     first = cut_lineage(spread.mapInPandas(local, schema))

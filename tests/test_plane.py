@@ -69,3 +69,14 @@ def test_medoids(rows):
         lab = d[:, ids].argmin(1)
         ids = [int(np.flatnonzero(lab == c)[d[np.ix_(lab == c, lab == c)].sum(1).round(9).argmin()]) for c in range(4)]
     assert res.medoid_ids == ids
+
+
+def test_k_distances_of_leaves_that_ask_nobody(spark, monkeypatch):
+    """A leaf whose widest bound reaches another leaf, though no point of it does."""
+    tree = plane.Tree(np.array([0, -1, -1]), np.array([2.0, 0.0, 0.0]), np.array([[1, 2], [-1, -1], [-1, -1]]))
+    monkeypatch.setattr(plane, "_lay_out", lambda *a: tree)
+    x = np.concatenate([[-5.0], np.linspace(0, 1, 39), np.linspace(3, 4, 40)])
+    df = spark.createDataFrame([(i, float(a), 0.0) for i, a in enumerate(x)], "id long, a double, b double")
+    got = {r["id"]: r["k_dist"] for r in dbscan.k_distances(df, "id", ["a", "b"], 2).collect()}
+    want = np.sort(np.abs(x[:, None] - x[None]), axis=1)[:, 2]
+    assert np.allclose([got[i] for i in range(len(x))], want, rtol=1e-12, atol=0)
