@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import nearest_center
@@ -195,6 +195,33 @@ def _nearest(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return d2.argmin(axis=1)
 
 
+def labels_of(vec: Column, centers: Sequence[np.ndarray]) -> Column:
+    """ARRAY<INT>: the nearest centre of each of ``centers`` (runs x k x d), as ``nearest_center`` has it. Arrow and NumPy: as
+    one expression, some dozens of runs make more generated code than a driver compiles."""
+    import pandas as pd
+
+    cen = [np.asarray(c, dtype=np.float64) for c in centers]
+
+    def label(*cols: pd.Series) -> pd.Series:
+        X = [c.to_numpy(dtype=np.float64) for c in cols]
+        labs = np.zeros((len(X[0]), len(cen)), np.int32)
+        with np.errstate(invalid="ignore"):
+            for r, C in enumerate(cen):
+                least = np.full(len(X[0]), np.nan)
+                for i, c in enumerate(C):
+                    dist = np.zeros(len(X[0]))
+                    for x, y in zip(X, c):
+                        dist += (x - y) * (x - y)
+                    dist = np.sqrt(dist)
+                    closer = (dist < least) | (np.isnan(least) & ~np.isnan(dist))
+                    labs[closer, r] = i
+                    least = np.where(closer, dist, least)
+        return pd.Series(list(labs))
+
+    label.__annotations__ = {"cols": pd.Series, "return": pd.Series}
+    return F.pandas_udf(label, "array<int>")(*[vec[i] for i in range(cen[0].shape[1])])
+
+
 def _partial_sums(v: DataFrame, centers: dict, d: int) -> list:
     """One job: every partition assigns its rows to the nearest centre of
     every run with NumPy (ties -> lowest index) and emits per (run, cluster)

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import running_sums
 from ..functions.quantiles import order_statistics
-from ..functions.vectors import nearest_center, np_distance_matrix
+from ..functions.vectors import np_distance_matrix
 from . import plane
 from .dbscan import k_distances
-from .kmeans import elbow, vec_frame
+from .kmeans import elbow, labels_of, vec_frame
 from .pairs import DEFAULT_BLOCK_ROWS, _stack, block_join
 
 
@@ -77,8 +77,7 @@ def elbow_and_silhouette(df: DataFrame, id_col: str, features: Sequence[str] | N
     table, _, fits, run_id = elbow(df, id_col, features, ks, restarts, vec_col, seed=seed)
     v = vec_frame(df, id_col, features, vec_col).persist(StorageLevel.MEMORY_AND_DISK)
     keys = sorted(run_id, key=lambda key: run_id[key])
-    labs = F.array(*[nearest_center(F.col("vec"), fits[run_id[key]][0])["idx"].cast("int") for key in keys])
-    labels = v.select("id", labs.alias("labs"))
+    labels = v.select("id", labels_of(F.col("vec"), [fits[run_id[key]][0] for key in keys]).alias("labs"))
     sil = multi_silhouette(v, labels, len(keys))
     rows = []
     for k in ks:
