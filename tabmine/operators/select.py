@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.ordered import running_sums
 from ..functions.quantiles import order_statistics
 from ..functions.vectors import np_distance_matrix
-from . import plane
+from . import packs, plane
 from .dbscan import k_distances
 from .kmeans import elbow, labels_of, vec_frame
 from .pairs import DEFAULT_BLOCK_ROWS, _stack, block_join
@@ -28,16 +28,24 @@ def elbow_table(df: DataFrame, id_col: str, features: Sequence[str] | None = Non
     return table.select("k", F.round("inertia", 4).alias("inertia"))
 
 
-def multi_silhouette(v: DataFrame, labels: DataFrame, n_runs: int, block_rows: int = DEFAULT_BLOCK_ROWS) -> dict:
+def multi_silhouette(v: DataFrame, labels: DataFrame, n_runs: int, block_rows: int | None = None) -> dict:
     """Mean exact silhouette of many labelings of the same rows in one block
     join: each block pair's distances are computed once and reused by every
     labeling. ``labels``: (id, labs ARRAY<INT>) with one label per run. Rows of
-    one or two dimensions go through k-d leaves instead."""
+    one or two dimensions go through k-d leaves instead, other rows with distinct
+    ids and few distinct rows of labels through packs."""
     both = v.join(labels, "id").select("id", "vec", "labs")
     if plane.fits(both, "id", "vec", F.forall("labs", lambda c: c.isNotNull())):
         got = plane.silhouettes(both.select(*plane.places("vec"), F.col("labs").cast("array<bigint>").alias("labs")), n_runs)
         if got is not None:
             return dict(enumerate(got))
+    if block_rows is None:
+        block_rows = DEFAULT_BLOCK_ROWS
+        known = both.select("labs").distinct().limit(packs.MAX_LABELS + 1).collect()
+        if len(known) <= packs.MAX_LABELS and all(r["labs"] is not None and None not in r["labs"] for r in known) and packs.distinct_ids(both):
+            x = both.withColumn("labs", F.col("labs").cast("array<int>"))
+            if x.count() >= 2:
+                return dict(enumerate(packs.silhouettes(packs.pack(x, labs=True), np.array([r["labs"] for r in known], np.int32))))
     x = both.select("id", "vec", F.to_json("labs").alias("lab"))
     id_type = dict(x.dtypes)["id"]
 
