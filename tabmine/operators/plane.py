@@ -5,6 +5,7 @@ boxes, laid out on a sample of bounded size; the sample decides the leaves' size
 
 - ``kth_distances``: the k nearest rows inside the leaf bound the answer; only leaves whose box lies within that bound are
   asked. The cost grows with the points.
+- ``diameter``: between corners of the convex hull.
 - ``leaf_sums``: for every point and cluster the sum of Euclidean distances to the cluster's rows. Leaves near the point's
   leaf are summed pair by pair. A far box acts through weights at ORDER Chebyshev points a side, which carry its rows'
   sums: seen from GAP sides away the distance is analytic there, so the error falls as 6^-ORDER (about 1e-10 of the sum
@@ -34,6 +35,8 @@ TOP_LEAVES = 256
 SLACK = 1e-8
 #: Clusters of all labelings together that one matrix holds.
 MAX_COLUMNS = 4096
+#: Corners of tasks' hulls that the driver takes.
+HULL_POINTS = 16_384
 #: Coordinates up to which squares stay finite.
 LARGEST = 1e150
 
@@ -296,6 +299,45 @@ def kth_distances(points: DataFrame, k: int) -> DataFrame:
     return every.select("x", "y", kth.alias("k_dist")).where(F.col("k_dist") < F.lit(float("inf")))
 
 
+# ---- largest distance ------------------------------------------------------------------------
+
+
+def _hull(xy: np.ndarray) -> np.ndarray:
+    """Corners of the convex hull of some points."""
+    xy = xy[np.lexsort([xy[:, 1], xy[:, 0]])]
+    start = np.flatnonzero(np.append(True, xy[1:, 0] != xy[:-1, 0]))
+    low, high = xy[start], xy[np.append(start[1:], len(xy)) - 1]
+
+    def chain(points: list, turn: int) -> list:
+        out: list = []
+        for x, y in points:
+            while len(out) > 1 and turn * ((out[-1][0] - out[-2][0]) * (y - out[-2][1]) - (out[-1][1] - out[-2][1]) * (x - out[-2][0])) <= 0:
+                out.pop()
+            out.append((x, y))
+        return out
+
+    return np.unique(chain(low.tolist(), 1) + chain(high.tolist(), -1), axis=0)
+
+
+def diameter(points: DataFrame) -> float | None:
+    """Largest distance of two of ``points`` (x, y): it lies between corners of their hull, which is that of the tasks' hulls.
+    None: more than HULL_POINTS corners."""
+
+    def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros((0, 2))
+        for b in batches:
+            if len(b):
+                own = _hull(np.concatenate([own, b[["x", "y"]].to_numpy(np.float64)]))
+        yield pd.DataFrame({"x": own[:, 0], "y": own[:, 1]})
+
+    got = points.select("x", "y").mapInPandas(corners, "x double, y double").distinct().limit(HULL_POINTS + 1).collect()
+    if len(got) > HULL_POINTS:
+        return None
+    xy = _hull(np.array([(r["x"], r["y"]) for r in got], np.float64))
+    step = max(1, 1_000_000 // len(xy))
+    return max(float(_distances(xy[i:i + step], xy).max()) for i in range(0, len(xy), step))
+
+
 # ---- distance sums -----------------------------------------------------------------------
 
 
