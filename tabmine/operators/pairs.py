@@ -184,7 +184,12 @@ def _close(q: np.ndarray, b: np.ndarray, eps: float, metric: str) -> np.ndarray:
 
 def eps_neighbour_counts(df: DataFrame, eps: float, metric: str = "euclidean",
                          block_rows: int | None = None) -> DataFrame:
-    """J3 (dense fallback): per row, the number of rows within eps (self included)."""
+    """J3 (dense fallback): per row, the number of rows within eps (self included). In one or two dimensions from k-d leaves."""
+    from . import plane
+
+    if block_rows is None and metric == "euclidean" and eps >= 0 and plane.fits(df, "id", "vec"):
+        rows = df.select("id", *plane.places("vec"))
+        return rows.join(plane.within_counts(rows.groupBy("x", "y").agg(F.count(F.lit(1)).alias("m")), eps), ["x", "y"]).select("id", "n")
     id_type = dict(df.dtypes)["id"]
 
     def kernel(qp: pd.DataFrame, bp: pd.DataFrame) -> pd.DataFrame:

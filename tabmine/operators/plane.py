@@ -5,6 +5,7 @@ boxes, laid out on a sample of bounded size; the sample decides the leaves' size
 
 - ``kth_distances``: the k nearest rows inside the leaf bound the answer; only leaves whose box lies within that bound are
   asked. The cost grows with the points.
+- ``within_counts``: a leaf asks the leaves within eps; boxes wholly within it are counted whole.
 - ``diameter``: between corners of the convex hull.
 - ``leaf_sums``: for every point and cluster the sum of Euclidean distances to the cluster's rows. Leaves near the point's
   leaf are summed pair by pair. A far box acts through weights at ORDER Chebyshev points a side, which carry its rows'
@@ -299,6 +300,69 @@ def kth_distances(points: DataFrame, k: int) -> DataFrame:
     return every.select("x", "y", kth.alias("k_dist")).where(F.col("k_dist") < F.lit(float("inf")))
 
 
+# ---- rows within a distance ----------------------------------------------------------------
+
+
+def within_counts(points: DataFrame, eps: float) -> DataFrame:
+    """x, y, n (rows within eps, its own included) of every point of ``points`` (x, y, m): a leaf asks those whose boxes lie
+    within eps of its own."""
+    leaves = plant(points.select("x", "y", "m", F.array().cast("array<bigint>").alias("labs")))
+    t = leaves.tree
+    ids = np.flatnonzero((t.axis < 0) & (t.points > 0))
+    box, rows, reach = t.box[ids], t.rows[ids], eps * (1 + 1e-9)
+
+    def inside(leaf: int) -> np.ndarray:
+        """Leaves of which all points lie within eps of all of this leaf's."""
+        x0, x1, y0, y1 = t.box[leaf]
+        dx, dy = np.maximum(x1 - box[:, 0], box[:, 1] - x0), np.maximum(y1 - box[:, 2], box[:, 3] - y0)
+        return np.sqrt(dx * dx + dy * dy) <= eps * (1 - 1e-9)
+
+    def asked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for leaf in b["leaf"]:
+                x0, x1, y0, y1 = t.box[leaf]
+                dx = np.maximum(0, np.maximum(box[:, 0] - x1, x0 - box[:, 1]))
+                dy = np.maximum(0, np.maximum(box[:, 2] - y1, y0 - box[:, 3]))
+                src = ids[(np.sqrt(dx * dx + dy * dy) <= reach) & ~inside(leaf)]
+                yield pd.DataFrame({"leaf": np.int32(leaf), "src": src.astype(np.int32)})
+
+    def whole(q: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Points that have all of a box within eps."""
+        dx = np.maximum(np.abs(q[:, 0] - b[0]), np.abs(q[:, 0] - b[1]))
+        dy = np.maximum(np.abs(q[:, 1] - b[2]), np.abs(q[:, 1] - b[3]))
+        return np.sqrt(dx * dx + dy * dy) <= eps * (1 - 1e-9)
+
+    def none(q: np.ndarray, b: np.ndarray) -> np.ndarray:
+        dx = np.maximum(0, np.maximum(b[0] - q[:, 0], q[:, 0] - b[1]))
+        dy = np.maximum(0, np.maximum(b[2] - q[:, 1], q[:, 1] - b[3]))
+        return np.sqrt(dx * dx + dy * dy) > reach
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for leaf, src, xy, sxy, m in zip(b["leaf"], b["src"], b["xy"], b["sxy"], b["m"]):
+                xy, sxy, m = np.frombuffer(xy, np.float64).reshape(-1, 2), np.frombuffer(sxy, np.float64).reshape(-1, 2), np.frombuffer(m, np.int64)
+                n = np.where(whole(xy, t.box[src]), m.sum(), 0)
+                some = np.flatnonzero((n == 0) & ~none(xy, t.box[src]))
+                for i in range(0, len(some), 512):
+                    n[some[i:i + 512]] = np.where(_distances(xy[some[i:i + 512]], sxy) <= eps, m, 0).sum(1)
+                yield pd.DataFrame({"leaf": [leaf], "n": [n.astype(np.int64).tobytes()]})
+
+    def add(pdf: pd.DataFrame, base: pd.DataFrame) -> pd.DataFrame:
+        xy = np.frombuffer(base["xy"].iloc[0], np.float64).reshape(-1, 2)
+        n = np.full(len(xy), rows[inside(int(base["leaf"].iloc[0]))].sum())
+        for v in pdf["n"]:
+            n += np.frombuffer(v, np.int64)
+        return pd.DataFrame({"x": xy[:, 0], "y": xy[:, 1], "n": n})
+
+    parts = _parts(leaves)
+    pairs = leaves.blobs.select("leaf").repartition(parts, "leaf").mapInPandas(asked, "leaf int, src int")
+    own = leaves.blobs.select("leaf", "xy")
+    other = leaves.blobs.select(F.col("leaf").alias("src"), F.col("xy").alias("sxy"), "m")
+    met = pairs.join(other, "src").join(own, "leaf").select("leaf", "src", "xy", "sxy", "m")
+    counted = met.mapInPandas(count, "leaf int, n binary")
+    return counted.repartition(parts, "leaf").groupBy("leaf").cogroup(own.groupBy("leaf")).applyInPandas(add, "x double, y double, n long")
+
+
 # ---- largest distance ------------------------------------------------------------------------
 
 

@@ -80,3 +80,11 @@ def test_k_distances_of_leaves_that_ask_nobody(spark, monkeypatch):
     got = {r["id"]: r["k_dist"] for r in dbscan.k_distances(df, "id", ["a", "b"], 2).collect()}
     want = np.sort(np.abs(x[:, None] - x[None]), axis=1)[:, 2]
     assert np.allclose([got[i] for i in range(len(x))], want, rtol=1e-12, atol=0)
+
+
+@pytest.mark.parametrize("eps", [0.0, 0.4, 30.0])
+def test_counts_within(rows, eps):
+    df, x, d = rows
+    v = df.select("id", F.array("a", "b").alias("vec"), F.lit(None).cast("string").alias("lab"))
+    got = {r["id"]: r["n"] for r in pairs.eps_neighbour_counts(v, eps).collect()}
+    assert [got[i] for i in range(len(x))] == (d <= eps).sum(1).tolist()
